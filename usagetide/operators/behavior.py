@@ -96,13 +96,14 @@ def onset_histogram(churn: DataFrame, bins: int = 20) -> DataFrame:
     )
     edges = days.agg(
         F.struct(
-            F.min("day").alias("low"), F.max("day").alias("high"), F.percentile("day", 0.5, "n").alias("median")
+            F.min("day").alias("low"), F.max("day").alias("high"), F.percentile("day", F.lit(0.5), F.col("n")).alias("median")
         )
     ).scalar()
     low, high = F.col("edges.low"), F.col("edges.high")
     return (
         days.withColumn("edges", edges)
-        .groupBy(equal_width_bin(F.col("day"), low, high, bins).alias("bin"), "edges")
+        .withColumn("bin", equal_width_bin(F.col("day"), low, high, bins))
+        .groupBy("bin", "edges")
         .agg(F.sum("n").alias("n"))
         .select(
             "bin",

@@ -10,12 +10,12 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from ..functions import business as B
 from ..functions.numeric import round_to
 from ..functions.running import hash_ranks
-from ..session import shared_dir
+from ..session import materialize
 
 NUMERIC_FEATURES = [
     "count_429_onboarding",
@@ -109,13 +109,26 @@ def churn_classifier(weighted: bool = True, trees: int = 100) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), booster])
 
 
+ROWS_PER_TASK = 50_000
+
+
+def _training_set(rows: DataFrame, balance: Row, *extra: str) -> DataFrame:
+    """Weighted training rows, stored once and cached; small sets in few partitions.
+
+    Boosting runs some ten short jobs per tree. The checkpoint keeps each of
+    them from planning the feature lineage again, and on few rows the number
+    of tasks sets the run time; ``coalesce`` never adds partitions.
+    """
+    tasks = -(-(balance["negatives"] + balance["positives"]) // ROWS_PER_TASK)
+    weighted = with_weights(rows, balance["weight"]).select("label", "weight", *extra, *FEATURES)
+    return materialize(weighted.coalesce(max(1, tasks))).persist()
+
+
 def train_churn_model(features: DataFrame, trees: int = 100) -> PipelineModel:
     """Fit on the 70 % side of the split, churners weighted by class balance."""
-    shared_dir(features.sparkSession)
     split = stratified_split(feature_matrix(features))
     train = split.where(~F.col("is_test"))
-    weight = class_weight(train).first()["weight"]
-    train = with_weights(train, weight).select("label", "weight", *FEATURES).persist()
+    train = _training_set(train, class_weight(train).first())
     try:
         return churn_classifier(trees=trees).fit(train)
     finally:
@@ -129,14 +142,12 @@ def score(model: PipelineModel, matrix: DataFrame, output: str = "probability")
     return model.transform(raw).select(*kept, vector_to_array("probability")[1].alias(output))
 
 
-def cross_validate(features: DataFrame, folds: int = 5, trees: int = 100, parallelism: int = 4) -> DataFrame:
+def cross_validate(features: DataFrame, folds: int = 5, trees: int = 100, parallelism: int = 5) -> DataFrame:
     """Mean and population deviation of the ROC-AUC over stratified folds."""
     spark = features.sparkSession
-    shared_dir(spark)
     data = stratified_folds(feature_matrix(features), folds)
     # The fit of the reference metric weights churners by the whole set.
-    weight = class_weight(data).first()["weight"]
-    data = with_weights(data, weight).select("label", "weight", "fold", *FEATURES).persist()
+    data = _training_set(data, class_weight(data).first(), "fold")
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
     estimator = churn_classifier(trees=trees)
     validator = CrossValidator(

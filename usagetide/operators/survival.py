@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import ratio
 
@@ -88,9 +88,13 @@ def km_median(curve: DataFrame) -> DataFrame:
     return curve.groupBy("grp").agg(F.min(F.when(reached, F.col("t"))).alias("median_days"))
 
 
-@F.pandas_udf("double")
-def _chi2_tail_1df(statistic: pd.Series) -> pd.Series:
-    return statistic.map(lambda x: math.erfc(math.sqrt(x / 2.0)), na_action="ignore")
+def _chi2_tail_1df(statistic: Column) -> Column:
+    """Upper tail of chi-square with one degree of freedom; applied to one row."""
+
+    def tail(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: math.erfc(math.sqrt(x / 2.0)), na_action="ignore")
+
+    return F.pandas_udf(tail, "double")(statistic)
 
 
 def logrank_test(rows: DataFrame, duration: str, event: str, group: str = "is_treatment") -> DataFrame:
