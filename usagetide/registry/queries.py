@@ -29,6 +29,7 @@ from ..sources import readers, sinks, star
 HORIZON = 30
 # Boosting costs several short jobs per tree; five folds of 100 trees take minutes.
 CV_TREES = 20
+_inputs: dict[tuple[str, str], Inputs] = {}
 _models: dict[tuple[str, str], PipelineModel] = {}
 
 
@@ -50,7 +51,7 @@ def key_score(scale: int) -> Column:
 
 
 class Inputs:
-    """Tables of one folder and the plans derived from them."""
+    """Tables of one folder and the plans derived from them; plans only, no data."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
@@ -107,7 +108,7 @@ class Inputs:
     def propensity(self) -> DataFrame:
         return self.features.withColumn("ps", key_score(1000))
 
-    @cached_property
+    @property
     def pairs(self) -> DataFrame:
         return X.caliper_match(self.propensity, "ps")
 
@@ -498,11 +499,19 @@ REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {
 }
 
 
+def inputs(spark: SparkSession, folder: str) -> Inputs:
+    """The plans of a folder, built once per application: building is slow, lazy work."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _inputs or _inputs[key].spark is not spark:
+        _inputs[key] = Inputs(spark, folder)
+    return _inputs[key]
+
+
 def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:
     build = REGISTRY[name]
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(Inputs(spark, folder))
+        return build(inputs(spark, folder))
 
     run.__name__ = name
     return run
