@@ -37,7 +37,10 @@ def test_registered_name_is_usable_from_sql(spark):
 
 
 def test_persisted_and_counted(spark, tmp_path):
-    models = {"stg_daily_usage": spark.range(3).toDF("x"), "int_usage_velocity": spark.range(5).toDF("x")}
-    got = {r["model"]: (r["persisted"], r["row_count"]) for r in sinks.persist_models(models, str(tmp_path)).collect()}
+    models = {
+        "stg_daily_usage": sinks.store(spark.range(3).toDF("x"), str(tmp_path), "stg_daily_usage"),
+        "int_usage_velocity": spark.range(5).toDF("x"),
+    }
+    got = {r["model"]: (r["persisted"], r["row_count"]) for r in sinks.row_counts(models).collect()}
     assert got == {"stg_daily_usage": (True, 3), "int_usage_velocity": (False, 5)}
     assert sinks.load_model_table(spark, str(tmp_path), "stg_daily_usage").count() == 3

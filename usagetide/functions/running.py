@@ -71,7 +71,8 @@ def running_totals(
     offsets = totals.select(
         *keys, *[F.coalesce(F.sum(f"part_{c}").over(before), F.lit(0)).alias(f"offset_{c}") for c in sums]
     )
-    joined = ranged.join(offsets, keys)
+    # Small by construction: one row per range and group.
+    joined = ranged.join(F.broadcast(offsets), keys)
     out = joined.withColumns({f"cum_{c}": F.sum(c).over(inside) + F.col(f"offset_{c}") for c in sums})
     return out.drop("range_id", *[f"offset_{c}" for c in sums])
 
@@ -104,8 +105,9 @@ def hash_ranks(
     inside = Window.partitionBy(*keys).orderBy(
         F.shiftrightunsigned("row_hash", 33), "row_hash", key
     )
+    # Small by construction: at most ``ranges`` rows per group.
     return (
-        ranged.join(offsets, keys)
+        ranged.join(F.broadcast(offsets), keys)
         .withColumn("hash_rank", F.row_number().over(inside) + F.col("rows_before"))
         .drop("row_hash", "range_id", "rows_before")
     )
@@ -127,7 +129,7 @@ def exact_quantiles(
     totals = running_totals(counts, "value", ["n"], groups, range_rows=range_rows)
     sizes = totals.groupBy(*groups).agg(F.sum("n").alias("rows"))
     if groups:
-        placed = totals.join(sizes, list(groups))
+        placed = totals.join(F.broadcast(sizes), list(groups))
     else:
         size = sizes.select("rows").scalar()
         placed = totals.withColumn("rows", size)

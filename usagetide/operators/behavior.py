@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import business as B
 from ..functions.numeric import bin_start, bin_width, equal_width_bin, exact_avg, ratio, round_to
+from ..functions.skew import HOT_ROWS, join_split_hot
 
 
 def _share(part: Column, whole: Column, digits: int = 1) -> Column:
@@ -220,23 +221,23 @@ def distinct_signups(stg: DataFrame) -> DataFrame:
     return stg.select("company_id", "signup_date").dropDuplicates()
 
 
-def errors_join_signup(errors: DataFrame, companies: DataFrame) -> DataFrame:
-    """Single error events within the onboarding window of their company."""
+def errors_join_signup(errors: DataFrame, companies: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Single error events within the onboarding window of their company.
+
+    The event rows of a company with very many events are split over tasks.
+    """
     day = F.col("timestamp").cast("date")
+    signups = companies.select("company_id", "signup_date")
     return (
-        errors.join(companies.select("company_id", "signup_date"), "company_id")
+        join_split_hot(errors, signups, "company_id", "error_id", hot_rows)
         .where(B.onboarding_flag(day, "signup_date"))
         .select("error_id", "company_id", day.alias("error_date"), "error_code", "signup_date")
     )
 
 
-def errors_join_signup_day(errors: DataFrame, stg: DataFrame) -> DataFrame:
-    """Single error events with their day since signup.
-
-    A company with very many events makes one shuffle partition large; the
-    adaptive skew join splits it, as nothing downstream needs the partitioning.
-    """
-    return errors.join(distinct_signups(stg), "company_id").select(
+def errors_join_signup_day(errors: DataFrame, stg: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Single error events with their day since signup; hot companies are split."""
+    return join_split_hot(errors, distinct_signups(stg), "company_id", "error_id", hot_rows).select(
         "error_id",
         "company_id",
         "error_code",

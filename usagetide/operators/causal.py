@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import equal_width_bin, bin_start, bin_width, ratio, round_to
 from ..functions.running import exact_quantiles
+from ..session import materialize
 
 BASE_COVARIATES = ["is_enterprise", "log_avg_tokens_onboarding", "growth_rate"]
 BALANCE_LIMIT = 0.10
@@ -78,7 +79,11 @@ def fit_propensity(
 
 
 def propensity_score(features: DataFrame, penalty_c: float = 1.0) -> DataFrame:
-    """Covariates with ``propensity_score``, the fitted probability of treatment."""
+    """Features with covariates and ``propensity_score``, the fitted probability of treatment.
+
+    The features are stored first: levels, moments, fit and scores all read them.
+    """
+    features = materialize(features)
     levels = industry_levels(features)
     prepared = psm_covariates(features, levels)
     names = covariate_names(levels)
@@ -97,6 +102,7 @@ def propensity_score(features: DataFrame, penalty_c: float = 1.0) -> DataFrame:
 
 def propensity_summary(scored: DataFrame, score: str = "propensity_score") -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of the score by group."""
+    scored = materialize(scored.select("is_treatment", score))
     by_group = scored.groupBy("is_treatment").agg(
         F.count(score).alias("n"),
         F.avg(score).alias("mean"),
@@ -105,7 +111,7 @@ def propensity_summary(scored: DataFrame, score: str = "propensity_score") -> Da
         F.max(score).alias("max"),
     )
     quartiles = exact_quantiles(scored, score, [0.25, 0.5, 0.75], ["is_treatment"])
-    return by_group.join(quartiles, "is_treatment").select(
+    return by_group.join(F.broadcast(quartiles), "is_treatment").select(
         "is_treatment", "n", "mean", "std", "min", "q_25", "q_50", "q_75", "max"
     )
 
@@ -117,7 +123,7 @@ def propensity_overlap(scored: DataFrame, score: str = "propensity_score", bins:
     )
     low, high = F.col("low"), F.col("high")
     return (
-        scored.join(ranges, "is_treatment")
+        scored.join(F.broadcast(ranges), "is_treatment")  # one row per group
         .groupBy("is_treatment", "low", "high", "n_group", equal_width_bin(F.col(score), low, high, bins).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(

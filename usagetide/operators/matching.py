@@ -135,17 +135,12 @@ def _choose_block(rows: pd.DataFrame, caliper: float) -> pd.DataFrame:
     )
 
 
-def _cut_blocks(scored: DataFrame, score: str, block_rows: int) -> DataFrame:
+def _cut_blocks(units: DataFrame, block_rows: int) -> DataFrame:
     """Rows placed in blocks by range of (score, id), stored so that they stay put.
 
     The id is part of the range key: a score shared by very many accounts is
     spread over several blocks.
     """
-    units = scored.where(F.col(score).isNotNull()).select(
-        F.col("company_id").alias("id"),
-        F.col(score).cast("double").alias("ps"),
-        F.col("is_treatment").alias("is_treated"),
-    )
     blocks = max(1, -(-units.count() // block_rows))
     placed = units.repartitionByRange(blocks, "ps", "id").withColumn("block", F.spark_partition_id())
     return materialize(placed)
@@ -252,8 +247,16 @@ def caliper_match(
     ``caliper`` defaults to 0.05 sample standard deviations of the score.
     """
     spark = scored.sparkSession
-    caliper = score_caliper(scored, score) if caliper is None else caliper
-    units = _cut_blocks(scored, score, block_rows)
+    # Stored before use: the deviation, the count and the range cut all read it.
+    narrow = materialize(
+        scored.where(F.col(score).isNotNull()).select(
+            F.col("company_id").alias("id"),
+            F.col(score).cast("double").alias("ps"),
+            F.col("is_treatment").alias("is_treated"),
+        )
+    )
+    caliper = score_caliper(narrow, "ps") if caliper is None else caliper
+    units = _cut_blocks(narrow, block_rows)
     blocks = _describe(units)
     id_type = units.schema["id"].dataType.simpleString()
     claim_schema = (
@@ -278,9 +281,11 @@ def caliper_match(
         routes = [(where, target) for target in targets for where in sorted(reach[target].reads)]
         route = spark.createDataFrame(routes, "block int, target int")
         owner = _owners(claims).select(F.col("control_id").alias("id"), "holder_block")
+        reading = sorted({where for where, _ in routes})
         seen = (
-            controls.join(owner, "id", "left")
-            .join(route, "block")
+            controls.where(F.col("block").isin(reading))
+            .join(owner, "id", "left")
+            .join(F.broadcast(route), "block")
             .where(F.col("holder_block").isNull() | (F.col("holder_block") >= F.col("target")))
             .select("id", "ps", "is_treated", "block", "target")
         )

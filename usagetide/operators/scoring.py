@@ -124,9 +124,14 @@ def _training_set(rows: DataFrame, balance: Row, *extra: str) -> DataFrame:
     return materialize(weighted.coalesce(max(1, tasks))).persist()
 
 
+def _stored(features: DataFrame) -> DataFrame:
+    """The columns training needs, stored: indexing, splitting and weighting read them in turn."""
+    return materialize(features.select("company_id", LABEL, *ENCODED, *NUMERIC_FEATURES))
+
+
 def train_churn_model(features: DataFrame, trees: int = 100) -> PipelineModel:
     """Fit on the 70 % side of the split, churners weighted by class balance."""
-    split = stratified_split(feature_matrix(features))
+    split = stratified_split(feature_matrix(_stored(features)))
     train = split.where(~F.col("is_test"))
     train = _training_set(train, class_weight(train).first())
     try:
@@ -145,7 +150,7 @@ def score(model: PipelineModel, matrix: DataFrame, output: str = "probability")
 def cross_validate(features: DataFrame, folds: int = 5, trees: int = 100, parallelism: int = 5) -> DataFrame:
     """Mean and population deviation of the ROC-AUC over stratified folds."""
     spark = features.sparkSession
-    data = stratified_folds(feature_matrix(features), folds)
+    data = stratified_folds(feature_matrix(_stored(features)), folds)
     # The fit of the reference metric weights churners by the whole set.
     data = _training_set(data, class_weight(data).first(), "fold")
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")

@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from ..sources import sinks
 from . import models as M
 
 
@@ -70,3 +71,17 @@ class Pipeline:
             "fct_account_features",
         )
         return {name: getattr(self, name) for name in names}
+
+    def persist(self, folder: str) -> Pipeline:
+        """Store the models below ``folder`` and return a pipeline that reads them.
+
+        Later models are built from stored earlier ones: the sources are joined
+        once, and both fact tables come from one stored rollup.
+        """
+        stored = Pipeline(self.companies, self.usage, self.errors, self.horizon, self.hard_share, self.soft_share)
+        stored.stg_daily_usage = sinks.store(self.stg_daily_usage, folder, "stg_daily_usage")
+        stored.int_cohort_health = sinks.store(stored.int_cohort_health, folder, "int_cohort_health")
+        stored.account_rollup = sinks.store(stored.account_rollup, folder, "account_rollup")
+        for name in ("fct_cohort_churn", "fct_account_features"):
+            setattr(stored, name, sinks.store(getattr(stored, name), folder, name))
+        return stored

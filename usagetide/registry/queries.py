@@ -160,7 +160,7 @@ def register_model(i: Inputs) -> DataFrame:
 
 
 def persist_model(i: Inputs) -> DataFrame:
-    return sinks.persist_models(i.pipe.models(), scratch_path(i.spark, "models"))
+    return sinks.row_counts(i.pipe.persist(scratch_path(i.spark, "models")).models())
 
 
 def write_results(i: Inputs) -> DataFrame:

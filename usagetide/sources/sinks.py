@@ -36,20 +36,19 @@ def write_results(
     return paths
 
 
-def persist_models(
-    models: Mapping[str, DataFrame], folder: str, persisted: Iterable[str] = PERSISTED_MODELS
-) -> DataFrame:
-    """Write the chosen models as Parquet and report the row count of all.
+def store(model: DataFrame, folder: str, name: str) -> DataFrame:
+    """Write a model as Parquet and go on from the stored rows."""
+    write_results({name: model}, folder)
+    return load_model_table(model.sparkSession, folder, name)
 
-    Written models are counted from their files, so no model is computed twice.
-    """
+
+def row_counts(models: Mapping[str, DataFrame], persisted: Iterable[str] = PERSISTED_MODELS) -> DataFrame:
+    """One row per model: name, whether it is stored, and its row count."""
     persisted = set(persisted)
-    paths = write_results({n: m for n, m in models.items() if n in persisted}, folder)
     report = None
     for name, model in models.items():
-        source = model.sparkSession.read.parquet(paths[name]) if name in paths else model
-        row = source.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("model"), F.lit(name in paths).alias("persisted"), "row_count"
+        row = model.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("model"), F.lit(name in persisted).alias("persisted"), "row_count"
         )
         report = row if report is None else report.unionByName(row)
     return report
