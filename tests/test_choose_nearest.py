@@ -29,7 +29,7 @@ def test_matches_definition(seed):
 
 
 def test_reach_stops_at_enough_controls_and_at_the_caliper():
-    blocks = [Block(n, 2, n / 10, n / 10 + 0.05, n / 10, n / 10 + 0.05) for n in range(10)]
+    blocks = [Block(n, 2, 2, n / 10, n / 10 + 0.05, n / 10, n / 10 + 0.05) for n in range(10)]
     full = {n: {-1: 2} for n in range(10)}
     assert _reach(blocks, full, 1.0)[5].reads == {4, 5, 6}
     assert _reach(blocks, full, 0.01)[5].reads == {5}
@@ -39,7 +39,7 @@ def test_reach_stops_at_enough_controls_and_at_the_caliper():
 
 
 def test_reach_reads_a_long_score_from_its_first_block():
-    blocks = [Block(0, 1, 0.1, 0.1, 0.1, 0.5)]
-    blocks += [Block(n, 1, 0.5, 0.5, 0.5, 0.5) for n in range(1, 6)]
+    blocks = [Block(0, 1, 3, 0.1, 0.1, 0.1, 0.5)]
+    blocks += [Block(n, 1, 3, 0.5, 0.5, 0.5, 0.5) for n in range(1, 6)]
     reads = _reach(blocks, {n: {-1: 3} for n in range(6)}, 0.1)[5].reads
     assert reads == {0, 1, 5}

@@ -72,4 +72,4 @@ def test_no_control_in_reach(spark):
 
 def test_default_caliper_is_sample_deviation(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 1.0)], "company_id long, propensity_score double")
-    assert score_caliper(df) == pytest.approx(0.05 * 0.5**0.5)
+    assert score_caliper(df) == (pytest.approx(0.05 * 0.5**0.5), 2)

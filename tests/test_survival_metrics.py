@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from usagetide.operators import causal as C
@@ -55,6 +56,45 @@ def test_logrank_by_hand(spark):
     assert got["p_value"] == pytest.approx(math.erfc(math.sqrt(chi2 / 2)))
 
 
+def test_chi_square_tail(spark):
+    xs = [0.0, 1e-6, 0.3, 3.84, 5.99, 6.01, 25.0, 200.0]
+    df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
+    got = [r[0] for r in df.select(V.chi2_tail_1df(df.x)).collect()]
+    assert got[-1] is None
+    for x, p in zip(xs, got):
+        assert p == pytest.approx(math.erfc(math.sqrt(x / 2)), rel=1e-9)
+
+
+def test_propensity_is_the_penalised_fit(spark):
+    rng = np.random.default_rng(3)
+    n = 80
+    industry = rng.choice(["A", "B", "C"], n)
+    tokens, growth = rng.integers(0, 5000, n), rng.random(n)
+    treated = rng.random(n) < 1 / (1 + np.exp(-(growth * 3 - 1.5)))
+    tier = rng.choice(["Enterprise", "Growth"], n)
+    rows = [
+        (i, str(industry[i]), str(tier[i]), float(tokens[i]), float(growth[i]), bool(treated[i])) for i in range(n)
+    ]
+    df = spark.createDataFrame(
+        rows,
+        "company_id int, industry string, contract_tier string, avg_tokens_days_0_14 double, "
+        "growth_rate double, is_treatment boolean",
+    )
+    x = np.column_stack(
+        [tier == "Enterprise", np.log1p(tokens), growth, *[industry == v for v in ("A", "B", "C")]]
+    ).astype(float)
+    x = (x - x.mean(0)) / x.std(0)
+    x = np.column_stack([np.ones(n), x])
+    penalty = np.diag([0.0] + [1.0] * 6)
+    w = np.zeros(7)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve(x.T * (p * (1 - p)) @ x + penalty, x.T @ (p - treated) + penalty @ w)
+    want = 1 / (1 + np.exp(-x @ w))
+    for r in C.propensity_score(df).collect():
+        assert r["propensity_score"] == pytest.approx(want[r["company_id"]], abs=1e-4)
+
+
 def test_smd(spark):
     rows = [(True, 1.0, 5.0), (True, 3.0, 5.0), (False, 0.0, 5.0), (False, 2.0, 5.0)]
     df = spark.createDataFrame(rows, "is_treatment boolean, x double, flat double")

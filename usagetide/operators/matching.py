@@ -41,6 +41,7 @@ class Block:
 
     number: int
     treated: int
+    controls: int
     first_treated: float
     last_treated: float
     first_row: float
@@ -56,10 +57,12 @@ class Reach:
     last: int
 
 
-def score_caliper(scored: DataFrame, score: str = "propensity_score", share: float = CALIPER_SHARE) -> float:
-    """``share`` sample standard deviations of the score."""
-    value = scored.agg(F.stddev_samp(score)).first()[0]
-    return 0.0 if value is None else share * float(value)
+def score_caliper(
+    scored: DataFrame, score: str = "propensity_score", share: float = CALIPER_SHARE
+) -> tuple[float, int]:
+    """``share`` sample standard deviations of the score, and the number of scores."""
+    deviation, n = scored.agg(F.stddev_samp(score), F.count(score)).first()
+    return (0.0 if deviation is None else share * float(deviation)), n
 
 
 def choose_nearest(
@@ -135,13 +138,12 @@ def _choose_block(rows: pd.DataFrame, caliper: float) -> pd.DataFrame:
     )
 
 
-def _cut_blocks(units: DataFrame, block_rows: int) -> DataFrame:
+def _cut_blocks(units: DataFrame, blocks: int) -> DataFrame:
     """Rows placed in blocks by range of (score, id), stored so that they stay put.
 
     The id is part of the range key: a score shared by very many accounts is
     spread over several blocks.
     """
-    blocks = max(1, -(-units.count() // block_rows))
     placed = units.repartitionByRange(blocks, "ps", "id").withColumn("block", F.spark_partition_id())
     return materialize(placed)
 
@@ -149,7 +151,7 @@ def _cut_blocks(units: DataFrame, block_rows: int) -> DataFrame:
 def _describe(units: DataFrame) -> list[Block]:
     treated_ps = F.when(F.col("is_treated"), F.col("ps"))
     rows = units.groupBy("block").agg(
-        F.count(treated_ps), F.min(treated_ps), F.max(treated_ps), F.min("ps"), F.max("ps")
+        F.count_if("is_treated"), F.count_if(~F.col("is_treated")), F.min(treated_ps), F.max(treated_ps), F.min("ps"), F.max("ps")
     )
     return sorted((Block(*row) for row in rows.collect()), key=lambda b: b.number)
 
@@ -213,10 +215,12 @@ def _owners(claims: DataFrame) -> DataFrame:
     return claims.groupBy("control_id", "control_block").agg(F.min("holder_block").alias("holder_block"))
 
 
-def _open_counts(claims: DataFrame, control_counts: dict[int, int]) -> dict[int, dict[int, int]]:
+def _open_counts(claims: DataFrame | None, blocks: list[Block]) -> dict[int, dict[int, int]]:
     """Controls per control block and holder block; small, from one aggregate."""
+    counts: dict[int, dict[int, int]] = {block.number: {-1: block.controls} for block in blocks}
+    if claims is None:
+        return counts
     held = _owners(claims).groupBy("control_block", "holder_block").count().collect()
-    counts: dict[int, dict[int, int]] = {number: {-1: n} for number, n in control_counts.items()}
     for where, holder, n in held:
         counts[where][holder] = n
         counts[where][-1] -= n
@@ -255,8 +259,9 @@ def caliper_match(
             F.col("is_treatment").alias("is_treated"),
         )
     )
-    caliper = score_caliper(narrow, "ps") if caliper is None else caliper
-    units = _cut_blocks(narrow, block_rows)
+    default_caliper, n_units = score_caliper(narrow, "ps")
+    caliper = default_caliper if caliper is None else caliper
+    units = _cut_blocks(narrow, max(1, -(-n_units // block_rows)))
     blocks = _describe(units)
     id_type = units.schema["id"].dataType.simpleString()
     claim_schema = (
@@ -264,15 +269,14 @@ def caliper_match(
         f"treated_id {id_type}, treated_ps double, holder_block int"
     )
     treated, controls = units.where("is_treated"), units.where("not is_treated")
-    control_counts = dict(map(tuple, controls.groupBy("block").count().collect()))
-    claims = spark.createDataFrame([], claim_schema)
+    claims: DataFrame | None = None
     active: set[int] | None = None
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         return _choose_block(rows, caliper)
 
     for _ in blocks:
-        reach = _reach(blocks, _open_counts(claims, control_counts), caliper)
+        reach = _reach(blocks, _open_counts(claims, blocks), caliper)
         targets = sorted(reach) if active is None else sorted(active)
         if not targets:
             break
@@ -280,12 +284,15 @@ def caliper_match(
         # Which blocks read the controls of which block: a few rows per block.
         routes = [(where, target) for target in targets for where in sorted(reach[target].reads)]
         route = spark.createDataFrame(routes, "block int, target int")
-        owner = _owners(claims).select(F.col("control_id").alias("id"), "holder_block")
         reading = sorted({where for where, _ in routes})
+        read = controls.where(F.col("block").isin(reading))
+        if claims is None:
+            read = read.withColumn("holder_block", F.lit(None).cast("int"))
+        else:
+            owner = _owners(claims).select(F.col("control_id").alias("id"), "holder_block")
+            read = read.join(owner, "id", "left")
         seen = (
-            controls.where(F.col("block").isin(reading))
-            .join(owner, "id", "left")
-            .join(F.broadcast(route), "block")
+            read.join(F.broadcast(route), "block")
             .where(F.col("holder_block").isNull() | (F.col("holder_block") >= F.col("target")))
             .select("id", "ps", "is_treated", "block", "target")
         )
@@ -293,16 +300,22 @@ def caliper_match(
         fresh = asking.select(*seen.columns).unionByName(seen).groupBy("target").applyInPandas(choose, claim_schema)
         # Two blocks may claim one control in the same round; the later one
         # sees that in the next round and chooses again.
-        kept = claims.where(~F.col("holder_block").isin(targets))
-        merged = materialize(kept.unionByName(fresh))
-        changes = _changes(claims, merged)
-        claims = merged
+        if claims is None:
+            claims = materialize(fresh)
+            changes = [tuple(r) for r in claims.select("control_block", "holder_block").distinct().collect()]
+        else:
+            kept = claims.where(~F.col("holder_block").isin(targets))
+            merged = materialize(kept.unionByName(fresh))
+            changes = _changes(claims, merged)
+            claims = merged
         active = {
             number
             for number, view in reach.items()
             if any(holder < number and view.first <= where <= view.last for where, holder in changes)
         }
 
+    if claims is None:
+        claims = spark.createDataFrame([], claim_schema)
     return claims.select(
         F.col("treated_id").alias("treatment_company_id"),
         F.col("control_id").alias("control_company_id"),

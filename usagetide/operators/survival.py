@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import ratio
@@ -88,13 +87,27 @@ def km_median(curve: DataFrame) -> DataFrame:
     return curve.groupBy("grp").agg(F.min(F.when(reached, F.col("t"))).alias("median_days"))
 
 
-def _chi2_tail_1df(statistic: Column) -> Column:
-    """Upper tail of chi-square with one degree of freedom; applied to one row."""
+def chi2_tail_1df(statistic: Column) -> Column:
+    """Upper tail of chi-square with one degree of freedom: erfc(sqrt(x / 2)).
 
-    def tail(values: pd.Series) -> pd.Series:
-        return values.map(lambda x: math.erfc(math.sqrt(x / 2.0)), na_action="ignore")
-
-    return F.pandas_udf(tail, "double")(statistic)
+    Small arguments use the all-positive series of erf, larger ones the
+    continued fraction of erfc, evaluated from the inside out.
+    """
+    half = statistic / 2.0
+    root = F.sqrt(half)
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+
+    def add_term(acc: Column, k: Column) -> Column:
+        term = acc["term"] * half * 2.0 / (2.0 * k + 1.0)
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(60)), start, add_term, lambda acc: acc["total"])
+    erf = root * F.exp(-half) * series * (2.0 / math.sqrt(math.pi))
+    fraction = F.aggregate(
+        F.sequence(F.lit(100), F.lit(1), F.lit(-1)), F.lit(1.0), lambda acc, k: 1.0 + k / (2.0 * half) / acc
+    )
+    erfc = F.exp(-half) / (root * math.sqrt(math.pi) * fraction)
+    return F.when(half < 3.0, 1.0 - erf).otherwise(erfc)
 
 
 def logrank_test(rows: DataFrame, duration: str, event: str, group: str = "is_treatment") -> DataFrame:
@@ -121,5 +134,5 @@ def logrank_test(rows: DataFrame, duration: str, event: str, group: str = "is_tr
     )
     gap = F.col("observed").cast("double") - F.col("expected")
     return test.withColumn("chi2", ratio(gap * gap, "variance")).withColumn(
-        "p_value", _chi2_tail_1df(F.col("chi2"))
+        "p_value", chi2_tail_1df(F.col("chi2"))
     ).withColumn("is_significant", F.col("p_value") < 0.05)
