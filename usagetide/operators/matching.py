@@ -302,6 +302,8 @@ def caliper_match(
         # sees that in the next round and chooses again.
         if claims is None:
             claims = materialize(fresh)
+            if len(reach) == 1:
+                break
             changes = [tuple(r) for r in claims.select("control_block", "holder_block").distinct().collect()]
         else:
             kept = claims.where(~F.col("holder_block").isin(targets))
