@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from usagetide.operators.matching import Block, _reach, choose_nearest
+from usagetide.operators.matching import Block, Turn, _reach, choose_nearest
 
 
 @pytest.mark.parametrize("seed", range(200))
@@ -28,18 +28,22 @@ def test_matches_definition(seed):
         free.pop(want, None)
 
 
+def blocks_and_turns(extents, controls, treated):
+    blocks = [Block(n, controls, low, high) for n, (low, high) in enumerate(extents)]
+    turns = [Turn(2 * n, treated, low, high, n, n, False) for n, (low, high) in enumerate(extents)]
+    return turns, blocks
+
+
 def test_reach_stops_at_enough_controls_and_at_the_caliper():
-    blocks = [Block(n, 2, 2, n / 10, n / 10 + 0.05, n / 10, n / 10 + 0.05) for n in range(10)]
+    turns, blocks = blocks_and_turns([(n / 10, n / 10 + 0.05) for n in range(10)], 2, 2)
     full = {n: {-1: 2} for n in range(10)}
-    assert _reach(blocks, full, 1.0)[5].reads == {4, 5, 6}
-    assert _reach(blocks, full, 0.01)[5].reads == {5}
-    # Controls held by earlier blocks are passed over, those of later ones are open.
-    held = {**full, 4: {0: 2, -1: 0}, 6: {9: 2, -1: 0}}
-    assert _reach(blocks, held, 1.0)[5].reads == {3, 5, 6}
+    assert _reach(turns, blocks, full, 1.0)[10].reads == {4, 5, 6}
+    assert _reach(turns, blocks, full, 0.01)[10].reads == {5}
+    # Controls held by earlier turns are passed over, those of later ones are open.
+    held = {**full, 4: {0: 2, -1: 0}, 6: {18: 2, -1: 0}}
+    assert _reach(turns, blocks, held, 1.0)[10].reads == {3, 5, 6}
 
 
 def test_reach_reads_a_long_score_from_its_first_block():
-    blocks = [Block(0, 1, 3, 0.1, 0.1, 0.1, 0.5)]
-    blocks += [Block(n, 1, 3, 0.5, 0.5, 0.5, 0.5) for n in range(1, 6)]
-    reads = _reach(blocks, {n: {-1: 3} for n in range(6)}, 0.1)[5].reads
-    assert reads == {0, 1, 5}
+    turns, blocks = blocks_and_turns([(0.1, 0.5)] + [(0.5, 0.5)] * 5, 3, 1)
+    assert _reach(turns, blocks, {n: {-1: 3} for n in range(6)}, 0.1)[10].reads == {0, 1, 5}

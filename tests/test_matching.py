@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from usagetide.operators import matching
 from usagetide.operators.matching import caliper_match, score_caliper
 
 
@@ -54,6 +55,19 @@ def test_one_score_holds_most_rows(spark):
     assert run(spark, units, 0.1, 15) == sequential(units, 0.1)
 
 
+@pytest.mark.parametrize("share", [0.2, 0.8])
+def test_hot_score_chooses_by_rank(spark, share, monkeypatch):
+    # More treated units at one score than a block holds; with many treated,
+    # they run out of equal scores and go on to near ones.
+    rng = random.Random(11)
+    units = [(i, 0.5 if i % 5 else rng.randrange(40) / 40, rng.random() < share) for i in rng.sample(range(900), 140)]
+    calls = []
+    by_rank = matching._choose_hot
+    monkeypatch.setattr(matching, "_choose_hot", lambda *a: calls.append(a[0]) or by_rank(*a))
+    assert run(spark, units, 0.3, 12) == sequential(units, 0.3)
+    assert calls and all(turn.hot and turn.treated > 12 for turn in calls)
+
+
 def test_chain_of_refusals(spark):
     # Each treated unit wants the control the one before it takes.
     units = [(10, 0.50, True), (11, 0.501, True), (12, 0.502, True)]

@@ -77,6 +77,25 @@ def running_totals(
     return out.drop("range_id", *[f"offset_{c}" for c in sums])
 
 
+def global_ranks(rows: DataFrame, order: Sequence[str], parts: int, name: str = "place") -> DataFrame:
+    """Add ``name``, the 1-based position in the total order of ``order``.
+
+    Rows are cut into ranges once and stored, so ranges and offsets agree.
+    """
+    cut = rows.repartitionByRange(parts, *order).withColumn("range_id", F.spark_partition_id())
+    placed = materialize(cut)
+    sizes = placed.groupBy("range_id").agg(F.count(F.lit(1)).alias("n"))
+    # One row per range.
+    before = Window.partitionBy(F.lit(0)).orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("range_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("range_id").orderBy(*order)
+    return (
+        placed.join(F.broadcast(offsets), "range_id")
+        .withColumn(name, F.row_number().over(inside) + F.col("offset"))
+        .drop("range_id", "offset")
+    )
+
+
 def hash_ranks(
     df: DataFrame,
     key: str,

@@ -4,31 +4,36 @@ Treated units choose in ascending (score, id) order; each takes the nearest
 control that is still free, the smallest id among equally near ones. The choice
 of a unit depends only on the units before it, so the result is fixed.
 
-The score axis is cut into blocks of bounded row count. Each round lets every
-block choose at the same time, given what earlier blocks chose in the round
-before. The first block is final after round one, and by induction block i
-after round i at the latest; when no choice changes, all are final. Only blocks
-that can see a changed control choose again.
+The score axis is cut into blocks of bounded row count, and the treated units
+of a block choose in one turn. Each round lets every turn choose at the same
+time, given what earlier turns chose in the round before. The first turn is
+final after round one, and by induction turn i after round i at the latest;
+when no choice changes, all are final. Only turns that can see a changed
+control choose again.
 
-Influence fades along the axis, so few rounds are the rule. Where treated units
-outnumber controls over a long stretch (or share one score), a change travels
-one block per round there: the cost then nears that of one pass in order, and
-memory per task stays that of a block.
+No candidate pairs are formed. A turn receives the controls of its own block
+plus, on each side, the nearest blocks that hold as many open controls as it
+has treated units: it cannot use more.
+
+A score shared by more treated units than a block holds is one turn of its own.
+Its units rank the controls alike, so unit k takes the k-th open control: a
+join on rank, spread over the cluster.
 
-No candidate pairs are formed. A block receives its own controls plus, on each
-side, the nearest blocks that hold as many open controls as it has treated
-units: it cannot use more.
+Influence fades along the axis, so few rounds are the rule. Where treated units
+outnumber controls over a long stretch, a change travels one block per round
+there: the cost then nears that of one pass in order, and memory per task stays
+that of a block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.running import global_ranks
 from ..session import materialize
 from .causal import CALIPER_SHARE
 
@@ -37,20 +42,30 @@ BLOCK_ROWS = 1_000_000
 
 @dataclass
 class Block:
-    """Size and extent of one block; one entry per block lives on the driver."""
+    """Controls and extent of one block of rows; one entry per block lives on the driver."""
 
     number: int
-    treated: int
     controls: int
-    first_treated: float
-    last_treated: float
     first_row: float
     last_row: float
 
 
+@dataclass
+class Turn:
+    """Treated units that choose together: those of a block, or of one hot score."""
+
+    number: int
+    treated: int
+    first: float
+    last: float
+    low_block: int
+    high_block: int
+    hot: bool
+
+
 @dataclass
 class Reach:
-    """What a block must see: blocks it reads, and the range whose changes concern it."""
+    """What a turn must see: blocks it reads, and the range whose changes concern it."""
 
     reads: set[int]
     first: int
@@ -133,7 +148,7 @@ def _choose_block(rows: pd.DataFrame, caliper: float) -> pd.DataFrame:
             "control_block": control["block"].to_numpy()[taken[hit]],
             "treated_id": treated["id"].to_numpy()[hit],
             "treated_ps": treated["ps"].to_numpy()[hit],
-            "holder_block": treated["target"].to_numpy()[hit],
+            "holder": treated["target"].to_numpy()[hit],
         }
     )
 
@@ -148,43 +163,72 @@ def _cut_blocks(units: DataFrame, blocks: int) -> DataFrame:
     return materialize(placed)
 
 
-def _describe(units: DataFrame) -> list[Block]:
-    treated_ps = F.when(F.col("is_treated"), F.col("ps"))
-    rows = units.groupBy("block").agg(
-        F.count_if("is_treated"), F.count_if(~F.col("is_treated")), F.min(treated_ps), F.max(treated_ps), F.min("ps"), F.max("ps")
+def _take_turns(units: DataFrame, block_rows: int) -> DataFrame:
+    """Treated units with their turn: even for a block, odd for a hot score.
+
+    There are at most (rows / block_rows) hot scores. A hot score that starts in
+    block b chooses after the lower scores of b and before any later block.
+    """
+    treated = units.where("is_treated")
+    hot = (
+        treated.groupBy("ps")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("block").alias("low"), F.max("block").alias("high"))
+        .where((F.col("n") > block_rows) & (F.col("high") > F.col("low")))
+        .select("ps", (2 * F.col("low") + 1).alias("hot_turn"))
+    )
+    return treated.join(F.broadcast(hot), "ps", "left").select(
+        "id",
+        "ps",
+        "is_treated",
+        "block",
+        F.coalesce("hot_turn", 2 * F.col("block")).alias("turn"),
+        F.col("hot_turn").isNotNull().alias("is_hot"),
     )
+
+
+def _blocks(units: DataFrame) -> list[Block]:
+    rows = units.groupBy("block").agg(F.count_if(~F.col("is_treated")), F.min("ps"), F.max("ps"))
     return sorted((Block(*row) for row in rows.collect()), key=lambda b: b.number)
 
 
-def _reach(blocks: list[Block], open_counts: dict[int, dict[int, int]], caliper: float) -> dict[int, Reach]:
-    """The reach of every block that has treated units.
+def _turns(treated: DataFrame) -> list[Turn]:
+    rows = treated.groupBy("turn").agg(
+        F.count(F.lit(1)), F.min("ps"), F.max("ps"), F.min("block"), F.max("block"), F.max("is_hot")
+    )
+    return sorted((Turn(*row) for row in rows.collect()), key=lambda t: t.number)
+
+
+def _reach(
+    turns: list[Turn], blocks: list[Block], open_counts: dict[int, dict[int, int]], caliper: float
+) -> dict[int, Reach]:
+    """The reach of every turn.
 
-    ``open_counts[control block][holder block]`` counts controls; holder -1 is
-    nobody. A control held by the block itself or a later one is open to it.
+    ``open_counts[block][turn]`` counts controls by the turn that holds them; -1
+    is nobody. A control held by the turn itself or a later one is open to it.
     """
+    places = {block.number: place for place, block in enumerate(blocks)}
 
-    def open_to(block: Block, place: int) -> int:
+    def open_to(turn: Turn, place: int) -> int:
         counts = open_counts.get(blocks[place].number, {})
-        return sum(n for holder, n in counts.items() if holder < 0 or holder >= block.number)
+        return sum(n for holder, n in counts.items() if holder < 0 or holder >= turn.number)
 
     reach = {}
-    for place, block in enumerate(blocks):
-        if block.treated == 0:
-            continue
-        reads = {block.number}
+    for turn in turns:
+        low, high = places[turn.low_block], places[turn.high_block]
+        reads = {blocks[place].number for place in range(low, high + 1)}
 
         # Downwards by score, but a score that spans blocks is used from its
         # smallest id on, hence from its first block.
-        low, seen = place, 0
-        while low > 0 and seen < block.treated:
+        seen = 0
+        while low > 0 and seen < turn.treated:
             score = blocks[low - 1].last_row
-            if abs(score - block.first_treated) > caliper:
+            if abs(score - turn.first) > caliper:
                 break
             start = low - 1
             while start > 0 and blocks[start - 1].last_row == score:
                 start -= 1
             for other in range(start, low):
-                usable = open_to(block, other)
+                usable = open_to(turn, other)
                 if usable:
                     reads.add(blocks[other].number)
                 # Count only what is surely among the nearest: not the first
@@ -193,53 +237,72 @@ def _reach(blocks: list[Block], open_counts: dict[int, dict[int, int]], caliper:
                 alone = start == low - 1 and (start == 0 or blocks[start - 1].last_row != blocks[start].first_row)
                 if other > start or alone:
                     seen += usable
-                if seen >= block.treated:
+                if seen >= turn.treated:
                     break
             low = start
 
-        high, seen = place, 0
-        while high + 1 < len(blocks) and seen < block.treated:
-            if abs(blocks[high + 1].first_row - block.last_treated) > caliper:
+        seen = 0
+        while high + 1 < len(blocks) and seen < turn.treated:
+            if abs(blocks[high + 1].first_row - turn.last) > caliper:
                 break
             high += 1
-            usable = open_to(block, high)
+            usable = open_to(turn, high)
             seen += usable
             if usable:
                 reads.add(blocks[high].number)
-        reach[block.number] = Reach(reads, blocks[low].number, blocks[high].number)
+        reach[turn.number] = Reach(reads, blocks[low].number, blocks[high].number)
     return reach
 
 
 def _owners(claims: DataFrame) -> DataFrame:
-    """The earliest block that claims each control."""
-    return claims.groupBy("control_id", "control_block").agg(F.min("holder_block").alias("holder_block"))
+    """The earliest turn that claims each control."""
+    return claims.groupBy("control_id", "control_block").agg(F.min("holder").alias("holder"))
 
 
 def _open_counts(claims: DataFrame | None, blocks: list[Block]) -> dict[int, dict[int, int]]:
-    """Controls per control block and holder block; small, from one aggregate."""
+    """Controls per block and holding turn; small, from one aggregate."""
     counts: dict[int, dict[int, int]] = {block.number: {-1: block.controls} for block in blocks}
     if claims is None:
         return counts
-    held = _owners(claims).groupBy("control_block", "holder_block").count().collect()
+    held = _owners(claims).groupBy("control_block", "holder").count().collect()
     for where, holder, n in held:
         counts[where][holder] = n
         counts[where][-1] -= n
     return counts
 
 
-def _changes(old: DataFrame, new: DataFrame) -> list[tuple[int, int]]:
-    """(control block, holder block) of every claim present in only one of the two."""
-    both = old.withColumn("side", F.lit(-1)).unionByName(new.withColumn("side", F.lit(1)))
+def _changes(old: DataFrame | None, new: DataFrame) -> list[tuple[int, int]]:
+    """(block, turn) of every claim present in only one of the two."""
+    both = new.withColumn("side", F.lit(1))
+    if old is not None:
+        both = both.unionByName(old.withColumn("side", F.lit(-1)))
     return (
-        both.groupBy("control_block", "control_id", "treated_id", "holder_block")
+        both.groupBy("control_block", "control_id", "treated_id", "holder")
         .agg(F.sum("side").alias("net"))
         .where("net <> 0")
-        .select("control_block", "holder_block")
+        .select("control_block", "holder")
         .distinct()
         .collect()
     )
 
 
+def _choose_hot(turn: Turn, treated: DataFrame, offered: DataFrame, caliper: float, block_rows: int) -> DataFrame:
+    """Claims of a turn whose units all have one score: a join on rank."""
+    score = F.lit(turn.first)
+    near = offered.withColumn("gap", F.abs(F.col("ps") - score)).where(F.col("gap") <= caliper)
+    parts = -(-turn.treated // block_rows)
+    asking = global_ranks(treated.where(F.col("turn") == turn.number).select("id"), ["id"], parts)
+    controls = global_ranks(near.select("id", "ps", "block", "gap"), ["gap", "id"], parts)
+    return asking.withColumnRenamed("id", "treated_id").join(controls, "place").select(
+        F.col("id").alias("control_id"),
+        F.col("ps").alias("control_ps"),
+        F.col("block").alias("control_block"),
+        "treated_id",
+        score.alias("treated_ps"),
+        F.lit(turn.number).alias("holder"),
+    )
+
+
 def caliper_match(
     scored: DataFrame,
     score: str = "propensity_score",
@@ -262,54 +325,55 @@ def caliper_match(
     default_caliper, n_units = score_caliper(narrow, "ps")
     caliper = default_caliper if caliper is None else caliper
     units = _cut_blocks(narrow, max(1, -(-n_units // block_rows)))
-    blocks = _describe(units)
+    controls, treated = units.where("not is_treated"), materialize(_take_turns(units, block_rows))
+    blocks, turns = _blocks(units), _turns(treated)
+    by_number = {turn.number: turn for turn in turns}
     id_type = units.schema["id"].dataType.simpleString()
     claim_schema = (
-        f"control_id {id_type}, control_ps double, control_block int, "
-        f"treated_id {id_type}, treated_ps double, holder_block int"
+        f"control_id {id_type}, control_ps double, control_block int, treated_id {id_type}, treated_ps double, holder int"
     )
-    treated, controls = units.where("is_treated"), units.where("not is_treated")
     claims: DataFrame | None = None
     active: set[int] | None = None
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         return _choose_block(rows, caliper)
 
-    for _ in blocks:
-        reach = _reach(blocks, _open_counts(claims, blocks), caliper)
+    for _ in turns:
+        reach = _reach(turns, blocks, _open_counts(claims, blocks), caliper)
         targets = sorted(reach) if active is None else sorted(active)
         if not targets:
             break
 
-        # Which blocks read the controls of which block: a few rows per block.
+        # Which turns read the controls of which block: a few rows per turn.
         routes = [(where, target) for target in targets for where in sorted(reach[target].reads)]
         route = spark.createDataFrame(routes, "block int, target int")
-        reading = sorted({where for where, _ in routes})
-        read = controls.where(F.col("block").isin(reading))
+        read = controls.where(F.col("block").isin(sorted({where for where, _ in routes})))
         if claims is None:
-            read = read.withColumn("holder_block", F.lit(None).cast("int"))
+            read = read.withColumn("holder", F.lit(None).cast("int"))
         else:
-            owner = _owners(claims).select(F.col("control_id").alias("id"), "holder_block")
-            read = read.join(owner, "id", "left")
+            read = read.join(_owners(claims).select(F.col("control_id").alias("id"), "holder"), "id", "left")
         seen = (
             read.join(F.broadcast(route), "block")
-            .where(F.col("holder_block").isNull() | (F.col("holder_block") >= F.col("target")))
+            .where(F.col("holder").isNull() | (F.col("holder") >= F.col("target")))
             .select("id", "ps", "is_treated", "block", "target")
         )
-        asking = treated.where(F.col("block").isin(targets)).withColumn("target", F.col("block"))
-        fresh = asking.select(*seen.columns).unionByName(seen).groupBy("target").applyInPandas(choose, claim_schema)
-        # Two blocks may claim one control in the same round; the later one
-        # sees that in the next round and chooses again.
-        if claims is None:
-            claims = materialize(fresh)
-            if len(reach) == 1:
-                break
-            changes = [tuple(r) for r in claims.select("control_block", "holder_block").distinct().collect()]
-        else:
-            kept = claims.where(~F.col("holder_block").isin(targets))
-            merged = materialize(kept.unionByName(fresh))
-            changes = _changes(claims, merged)
-            claims = merged
+        usual = [number for number in targets if not by_number[number].hot]
+        asking = treated.where(F.col("turn").isin(usual)).withColumn("target", F.col("turn"))
+        parts = asking.select(*seen.columns).unionByName(seen.where(F.col("target").isin(usual)))
+        fresh = parts.groupBy("target").applyInPandas(choose, claim_schema)
+        for number in targets:
+            if by_number[number].hot:
+                offered = seen.where(F.col("target") == number)
+                fresh = fresh.unionByName(_choose_hot(by_number[number], treated, offered, caliper, block_rows))
+
+        # Two turns may claim one control in the same round; the later one sees
+        # that in the next round and chooses again.
+        if claims is not None:
+            fresh = claims.where(~F.col("holder").isin(targets)).unionByName(fresh)
+        before, claims = claims, materialize(fresh)
+        if len(turns) == 1:
+            break
+        changes = _changes(before, claims)
         active = {
             number
             for number, view in reach.items()
