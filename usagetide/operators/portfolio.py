@@ -14,6 +14,7 @@ from ..functions import business as B
 from ..functions.numeric import equal_width_bin, exact_avg, ratio, round_to
 from ..plans.models import company_days
 
+# Columns of the feed.
 ALERT_COLUMNS = [
     "company_name",
     "contract_tier",

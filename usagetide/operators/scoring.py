@@ -17,6 +17,7 @@ from ..functions.numeric import round_to
 from ..functions.running import hash_ranks
 from ..session import materialize
 
+# Model inputs and output columns.
 NUMERIC_FEATURES = [
     "count_429_onboarding",
     "count_500_onboarding",

@@ -26,6 +26,7 @@ ACCOUNT_KEYS = [
     "growth_rate",
     "signup_date",
 ]
+# Codes, horizon and thresholds of the labels.
 ERROR_CODES = [429, 500, 503, 400]
 HORIZON_DAYS = 90
 HARD_CHURN_SHARE = 0.20
@@ -388,6 +389,7 @@ def _accounts(rollup: DataFrame, error_counts: DataFrame, horizon: int) -> DataF
     )
 
 
+# Output columns in order.
 COHORT_CHURN_COLUMNS = [
     "company_id",
     "company_name",
