@@ -158,3 +158,12 @@ def ablation(book: DataFrame, policy: Policy, rules: Sequence[Rule] = RULES) ->
 def base_failed() -> Column:
     base = sum(1 << r.bit for r in RULES if r.name in BASE)
     return F.col("fail_bits").bitwiseAND(F.lit(base).cast("long")) != 0
+
+
+def accept(docs: DataFrame, policy: Policy, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows of ``docs`` that ``policy`` accepts, with all their columns, whatever their names.
+
+    The row travels through the measuring task as one struct, so no join is needed.
+    """
+    book = ledger(docs.select(F.struct("*").alias("doc"), F.col(text).alias("doc_text")), ["doc"], "doc_text", rules)
+    return book.where(passes(policy, rules)).select("doc.*")
