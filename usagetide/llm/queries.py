@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, ring, rules, text as T, urlfilter
+from . import decontaminate, language, packing, quality, ring, rules, text as T, urlfilter, warc
 from .frames import table
 
 URL_RULES = (
@@ -25,6 +25,14 @@ URL_RULES = (
 SHARDS = 24
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.where(T.fold("doc_id", 5) != 0))
+    return language.identify(docs, model).select(
+        "doc_id", (T.fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "accepted"
+    )
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     book = rules.ledger(table(spark, folder, "documents"))
     failed = rules.base_failed()
@@ -49,6 +57,24 @@ def op4_consistent_ring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
+
+
+def op8_quality_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = quality.train_and_score(docs, labels, T.fold("doc_id", 4) != 2)
+    return scored.select(
+        "doc_id", (T.fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -56,11 +82,23 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, folder, "pages"), warc.archive_folder(spark))
+    number = lambda c: F.when(F.col(c) != "", F.col(c)).cast("long")
+    return warc.read_archives(archives, with_payload=False).select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filter": op3_url_filter,
     "op4_consistent_ring": op4_consistent_ring,
+    "op5_bin_completion": op5_bin_completion,
+    "op8_quality_score": op8_quality_score,
     "op9_decontaminate": op9_decontaminate,
+    "op10_warc": op10_warc,
 }
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -136,6 +174,22 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
+SQL["op10_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, encode(html) AS data, sha1(html) AS hex, min(page_id) OVER (PARTITION BY html) AS least FROM p),
+bits AS (
+  SELECT page_id, data, least, string_agg(lpad(bin(('0x' || substr(hex, 2 * i - 1, 2))::INT), 8, '0'), '' ORDER BY i) AS b
+  FROM (SELECT *, unnest(range(1, 21)) AS i FROM h) GROUP BY ALL
+)
+SELECT page_id, octet_length(data)::BIGINT AS payload_bytes,
+  (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+     1 + list_reduce([ascii(c) - 48 FOR c IN string_split(substr(b, 5 * k - 4, 5), '')], lambda x, y: 2 * x + y), 1), '' ORDER BY k)
+   FROM (SELECT unnest(range(1, 33)) AS k)) AS payload_digest,
+  CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> least THEN least END AS refers_to
+FROM bits
+"""
+
 SQL["op9_decontaminate"] = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id,

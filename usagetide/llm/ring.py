@@ -97,23 +97,17 @@ def assign(rows: DataFrame, key: str, spread: str, shards: int, vnodes: int = VN
     cells = max(1, -(-int(counts.max()) // cell_rows))
     ranks = frames.ranked(placed, "ring_arc", F.xxhash64("ring_hash", F.col(spread)), ["ring_hash", key, spread], cells, "ring_rank")
 
-    # Segments sorted by arc and first rank: a lookup by binary search.
+    # Segments sorted by arc and first rank: one binary search finds a row's segment.
     by = sorted(segments)
-    seg_arc = np.array([s[0] for s in by], dtype=np.int64)
+    seg_at = np.array([(s[0] << 40) + s[1] for s in by], dtype=np.int64)
     seg_lo = np.array([s[1] for s in by], dtype=np.int64)
     seg_shard = np.array([s[3] for s in by], dtype=np.int32)
     seg_slot = np.array([s[4] for s in by], dtype=np.int64)
-    first = np.searchsorted(seg_arc, np.arange(arcs + 1))
 
     def look_up(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        arc = batch.column("ring_arc").to_numpy().astype(np.int64)
         rank = batch.column("ring_rank").to_numpy()
-        at = first[arc].copy()
-        more = np.ones(len(at), dtype=bool)
-        while more.any():  # as often as an arc has segments, which are few
-            nxt = np.minimum(at + 1, len(seg_lo) - 1)
-            more = (at + 1 < first[arc + 1]) & (seg_lo[nxt] <= rank)
-            at = np.where(more, at + 1, at)
+        arc = batch.column("ring_arc").to_numpy().astype(np.int64)
+        at = np.searchsorted(seg_at, (arc << 40) + rank, side="right") - 1
         slot = seg_slot[at] + rank - seg_lo[at]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(seg_shard[at]), pa.array(slot)], names=[*batch.schema.names, "shard", "slot"])
 
