@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language, packing, quality, ring, rules, text as T, urlfilter, warc
+from . import decontaminate, language, neardup, packing, quality, ring, rules, text as T, urlfilter, warc
 from .frames import table
 
 URL_RULES = (
@@ -67,6 +67,10 @@ def op5_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op6_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_quality_score(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     scored = quality.train_and_score(docs, labels, T.fold("doc_id", 4) != 2)
@@ -96,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_consistent_ring": op4_consistent_ring,
     "op5_bin_completion": op5_bin_completion,
+    "op6_bbit_minhash": op6_bbit_minhash,
     "op8_quality_score": op8_quality_score,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
