@@ -2,7 +2,7 @@
 
 Every stage reads what its predecessor kept as a Parquet table in the shared folder, so a lost
 executor repeats tasks of one stage and lineage never grows. All but the last return the columns
-of ``documents``.
+of ``documents``; the last returns one row per packed piece.
 """
 
 from __future__ import annotations
@@ -11,28 +11,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagetide.llm import decontaminate, rules
+from usagetide.llm import decontaminate, language, neardup, packing, rules
 from usagetide.llm.frames import table, written
+from usagetide.llm.queries import tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised with enough confidence; texts without a letter go."""
+    return language.accept(docs, language.fit(docs))
+
+
 def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the policy in force accepts."""
     return rules.accept(docs, rules.POLICIES["v1"])
 
 
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates."""
+    return neardup.deduplicate(docs)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage of weight."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their place in training sequences."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", by_language),
     ("quality_rules", by_rules),
+    ("near_dedup", without_copies),
     ("decontamination", without_benchmark),
+    ("packing", packed),
 ]
 
-#: Language model fitting and packing have no SQL form; tests hold the stages against plain loops.
+#: A trained classifier and packing have no SQL form; tests hold the stages against plain loops.
 ORACLE_SQL = None
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language, neardup, packing, quality, ring, rules, text as T, urlfilter, warc
+from . import classlm, decontaminate, language, neardup, packing, quality, ring, rules, text as T, urlfilter, warc
 from .frames import table
 
 URL_RULES = (
@@ -71,6 +71,15 @@ def op6_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_class_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = classlm.fit(docs.where(T.fold("doc_id", 10) != 0))
+    return classlm.score(docs, model).select(
+        "doc_id", (T.fold("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def op8_quality_score(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     scored = quality.train_and_score(docs, labels, T.fold("doc_id", 4) != 2)
@@ -101,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_consistent_ring": op4_consistent_ring,
     "op5_bin_completion": op5_bin_completion,
     "op6_bbit_minhash": op6_bbit_minhash,
+    "op7_class_ngrams": op7_class_ngrams,
     "op8_quality_score": op8_quality_score,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,

@@ -58,15 +58,15 @@ def _is_space() -> np.ndarray:
     return _state["space"]
 
 
-def _hash_buffer(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of every word of ``data``."""
+def hash_buffer(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of every word of ``data``."""
     a = np.frombuffer(data, dtype=np.uint8)
     edge = np.diff(np.concatenate(([False], ~_is_space()[a], [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     up, down = _powers(len(a))
     total = np.zeros(len(a) + 1, dtype=np.uint64)
     np.cumsum(_byte_values()[a] * up[: len(a)], out=total[1:])
-    return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
+    return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts, ends
 
 
 def cut(data: bytes, size: int = BUFFER_BYTES) -> Iterator[bytes]:
@@ -84,9 +84,9 @@ def cut(data: bytes, size: int = BUFFER_BYTES) -> Iterator[bytes]:
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in a row, and where each text begins (one entry more than texts)."""
     if len(texts) == 1 and len(texts[0]) > BUFFER_BYTES:
-        hashes = np.concatenate([_hash_buffer(part)[0] for part in cut(texts[0])])
+        hashes = np.concatenate([hash_buffer(part)[0] for part in cut(texts[0])])
         return hashes, np.array([0, len(hashes)])
-    hashes, starts = _hash_buffer(b"\n".join(texts))
+    hashes, starts, _ = hash_buffer(b"\n".join(texts))
     lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
     return hashes, np.searchsorted(starts, np.concatenate(([0], np.cumsum(lengths))))
 
