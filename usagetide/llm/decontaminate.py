@@ -88,13 +88,16 @@ def _places(texts: DataFrame, keep: Sequence[str], widths: Sequence[int]) -> Dat
 
     The outer generator keeps Spark from deriving a filter that would split every text a second time.
     """
-    at = F.explode_outer(F.sequence(F.lit(0), F.size("w")))
-    placed = texts.select(*keep, "w", at.alias("at"))
-    hashes = [F.when((F.col("at") > 0) & (F.col("at") + (k - 1) <= F.size("w")), _shingle("w", k)) for k in widths]
-    if len(hashes) == 1:
-        return placed.withColumn("shingle", hashes[0])
-    each = F.when(F.col("at") > 0, F.array_compact(F.array(*hashes)))
-    return placed.withColumn("shingle", F.explode_outer(each)).where("at = 0 OR shingle IS NOT NULL")
+    n = len(widths)
+    # One generator for places and widths: rows with all words exist only inside it, never between two operators.
+    step = F.explode_outer(F.sequence(F.lit(0), F.size("w") * n))
+    at = F.when(F.col("step") > 0, F.floor((F.col("step") - 1) / n) + 1).otherwise(0).cast("int")
+    placed = texts.select(*keep, "w", step.alias("step")).withColumn("at", at)
+    shingle = F.lit(None).cast("long")
+    for j, k in enumerate(widths):
+        own = (F.col("at") > 0) & ((F.col("step") - 1) % n == j) & (F.col("at") + (k - 1) <= F.size("w"))
+        shingle = F.when(own, _shingle("w", k)).otherwise(shingle)
+    return placed.withColumn("shingle", shingle).drop("step")
 
 
 def occurrences(
@@ -109,8 +112,8 @@ def occurrences(
     """One row per document, ``start`` null, with ``n_words``; and one per occurrence of a window.
 
     Occurrence rows add ``start`` (1-based word), ``length`` and ``items``. Rows carry ``keep``.
-    The benchmark side is broadcast only while it has at most ``broadcast_windows`` windows;
-    beyond, the same joins shuffle.
+    The benchmark side is broadcast only while it has at most ``broadcast_windows`` windows; beyond,
+    narrow rows are joined by shuffle, and ``keep`` must tell texts apart.
     """
     windows = frames.materialize(benchmark_windows(benchmark, window=window))
     shingles = _window_shingles(windows, shingle)
@@ -140,22 +143,27 @@ def occurrences(
     )
     prefix = frames.materialize(prefix)
 
-    # The row with at = 0 stands for the document itself, so texts are split once.
-    flat = _places(texts, keep, widths)
-    met = flat.join(side(prefix), "shingle", "left").where((F.col("at") == 0) | F.col("window_words").isNotNull())
     start, length = F.col("at") - F.col("distance"), F.size("window_words")
     real = (
         (start >= 1)
         & (start + length - 1 <= F.size("w"))
         & F.coalesce(folded(F.slice("w", F.greatest(start, F.lit(1)), F.greatest(length, F.lit(0)))) == F.col("window_words"), F.lit(False))
     )
-    return met.where((F.col("at") == 0) | real).select(
-        *keep,
-        F.size("w").alias("n_words"),
-        F.when(F.col("at") > 0, start).alias("start"),
-        F.when(F.col("at") > 0, length).alias("length"),
-        F.when(F.col("at") > 0, F.col("items")).alias("items"),
-    )
+    found = [F.size("w").alias("n_words"), start.alias("start"), length.alias("length"), F.col("items")]
+    # The row with at = 0 stands for the document itself, so texts are split once.
+    flat = _places(texts, keep, widths)
+    if small:
+        met = flat.join(F.broadcast(prefix), "shingle", "left")
+        itself = F.col("at") == 0
+        return met.where(itself | (F.col("window_words").isNotNull() & real)).select(
+            *keep, found[0], *[F.when(~itself, c).alias(n) for c, n in zip(found[1:], ("start", "length", "items"))]
+        )
+    # Beyond the bound only narrow rows shuffle; a document's candidates then meet its words again.
+    met = flat.where("shingle IS NOT NULL").select(*keep, "at", "shingle").join(prefix, "shingle")
+    cands = met.select(*[F.col(k).alias(f"dc_{k}") for k in keep], "at", "distance", "window_words", "items")
+    distinct = texts.dropDuplicates([*keep])
+    same = [distinct[k].eqNullSafe(cands[f"dc_{k}"]) for k in keep]
+    return distinct.join(cands, same).where(real).select(*keep, *found).unionByName(base)
 
 
 def contamination(
@@ -175,7 +183,7 @@ def contamination(
     Rows that repeat key and text give one row each, with equal results; rows with a null key
     are told apart by their text. An empty benchmark leaves every document clean.
     """
-    keyed = docs.select(key, F.xxhash64(text).alias("text_hash"), F.length(text).alias("text_length"), text)
+    keyed = docs.select(key, F.xxhash64(text).alias("text_hash"), F.length(text).alias("text_length"), F.col(text))
     by = [key, "text_hash", "text_length"]
     rows = occurrences(keyed, benchmark, by, text, window, shingle, broadcast_windows)
     # Rows of one text: as many as the text has occurrences. Running end of what is covered so far.
