@@ -28,7 +28,7 @@ BUCKETS = 1 << 16
 
 @dataclass(frozen=True)
 class Settings:
-    per_lang: int = 400
+    per_lang: int = 200
     max_langs: int = 200
     buckets: int = BUCKETS
     dim: int = 16
@@ -121,7 +121,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     # Bounded: two bags for each of about per_lang texts of at most max_langs languages.
     rows = T.map_batches(slim, bags, "lang string, whole boolean, place long, ids binary, counts binary").collect()
     rows.sort(key=lambda r: (r.place, r.lang, not r.whole, r.ids))
-    return _train(rows, langs, s)
+    model = _train(rows, langs, s)
+    del rows
+    return model
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -134,10 +136,13 @@ def _train(rows: list, langs: list[str], s: Settings) -> LanguageModel:
     y = np.array([number[r.lang] for r in rows], dtype=np.int64)
     held = np.array([(r.place % 1000) < 1000 * s.calibration_share for r in rows], dtype=bool)
     whole = np.array([r.whole for r in rows], dtype=bool)
-    ids = [np.frombuffer(r.ids, dtype=np.uint32).astype(np.int64) for r in rows]
-    share = [np.frombuffer(r.counts, dtype=np.uint32).astype(np.float32) for r in rows]
-    share = [c / c.sum() for c in share]
-    del rows
+    # Views of the collected bytes; a text's weights are made when it is used, so the sample is held once.
+    ids = [np.frombuffer(r.ids, dtype=np.uint32) for r in rows]
+    counts = [np.frombuffer(r.counts, dtype=np.uint32) for r in rows]
+
+    def share(i: int) -> np.ndarray:
+        return (counts[i] / counts[i].sum()).astype(np.float32)
+
     rng = np.random.default_rng(s.seed)
     table = rng.normal(0, 0.05, (s.buckets, s.dim)).astype(np.float32)
     weights = rng.normal(0, 0.05, (s.dim, len(langs))).astype(np.float32)
@@ -150,7 +155,7 @@ def _train(rows: list, langs: list[str], s: Settings) -> LanguageModel:
             rate = s.rate * (1 - done / steps)
             done += 1
             batch = order[at : at + size]
-            vectors = np.stack([share[i] @ table[ids[i]] for i in batch])
+            vectors = np.stack([share(i) @ table[ids[i]] for i in batch])
             error = _softmax(vectors @ weights + bias)
             error[np.arange(len(batch)), y[batch]] -= 1
             error /= len(batch)
@@ -158,11 +163,11 @@ def _train(rows: list, langs: list[str], s: Settings) -> LanguageModel:
             weights -= rate * 0.1 * (vectors.T @ error)
             bias -= rate * 0.01 * error.sum(axis=0)
             for j, i in enumerate(batch):
-                table[ids[i]] -= rate * share[i][:, None] * back[j]
+                table[ids[i]] -= rate * share(i)[:, None] * back[j]
     scores = (table @ weights).astype(np.float32)
     # Calibration on texts that training did not see (on all, should a tiny sample hold none).
     test = np.flatnonzero(held) if held.any() else np.arange(len(y))
-    logits = np.stack([share[i] @ scores[ids[i]] for i in test]) + bias
+    logits = np.stack([share(i) @ scores[ids[i]] for i in test]) + bias
     loss = {t: -np.log(_softmax(logits / t)[np.arange(len(test)), y[test]] + 1e-12).mean() for t in np.geomspace(0.05, 20, 80)}
     temperature = float(min(loss, key=loss.get))
     best = _softmax(logits / temperature)
