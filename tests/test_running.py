@@ -39,8 +39,32 @@ def test_exact_quantiles_match_numpy(spark, range_rows):
 
 def test_hash_ranks_are_a_permutation_per_group(spark):
     df = spark.range(300).select("id", (F.col("id") % 3 == 0).alias("label"))
-    rows = hash_ranks(df, "id", 42, ["label"], ranges=16).collect()
+    rows = hash_ranks(df, "id", 42, ["label"], range_rows=10).collect()
     for label, n in ((True, 100), (False, 200)):
         ranks = sorted(r["hash_rank"] for r in rows if r["label"] == label)
         assert ranks == list(range(1, n + 1))
         assert {r["group_rows"] for r in rows if r["label"] == label} == {n}
+
+
+def test_metrics_ignore_scores_without_a_value_at_every_size(spark):
+    from usagetide.operators import metrics
+
+    nan = float("nan")
+    rows = [(0.1, 0), (0.2, 0), (0.2, 1), (0.4, 1), (0.5, 0), (0.9, 1), (None, 1), (None, 0), (nan, 1), (nan, 0)]
+    df = spark.createDataFrame([(s, bool(y)) for s, y in rows], "score double, label boolean")
+    plain = [(s, y) for s, y in rows if s is not None and s == s]
+    wins = sum((a > b) + 0.5 * (a == b) for a, y in plain if y for b, z in plain if not z)
+    pairs = sum(y for _, y in plain) * sum(1 - y for _, y in plain)
+    for size in (2, 200_000):
+        assert abs(metrics.roc_auc(df, "score", "label", size).first()[0] - wins / pairs) < 1e-12
+        assert metrics.roc_pr_curves(df, "score", "label", size).count() == 5
+    one, two = (metrics.average_precision(df, "score", "label", size).first()[0] for size in (2, 200_000))
+    assert abs(one - two) < 1e-12
+
+
+def test_rules_treat_nan_as_missing(spark):
+    from usagetide.functions import business
+
+    df = spark.sql("SELECT 0 AS count_429_onboarding, double('NaN') AS avg_ttft_ms_onboarding, double('NaN') AS max_context_saturation_onboarding,"
+                   " 0 AS count_500_onboarding, 0 AS count_503_onboarding, 0.5D AS avg_cache_ratio_onboarding")
+    assert df.select(business.prescribe().alias("p")).first().p.top_friction_trigger == "Declining velocity"

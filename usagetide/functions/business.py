@@ -32,7 +32,10 @@ ARR_DEFAULT = 24_000
 
 
 class Rule(NamedTuple):
-    """One prescriptive rule; ``when`` is a SQL predicate on feature columns."""
+    """One prescriptive rule; ``when`` is a SQL predicate on feature columns.
+
+    NaN is above every number in Spark, so an input that may be NaN is made NULL first.
+    """
 
     trigger: str
     when: str
@@ -50,13 +53,13 @@ RULES = [
     ),
     Rule(
         "High TTFT (latency)",
-        "avg_ttft_ms_onboarding >= 400",
+        "nanvl(avg_ttft_ms_onboarding, CAST(NULL AS DOUBLE)) >= 400",
         "Route to lower-latency deployment or regional endpoint",
         "Infra + AE",
     ),
     Rule(
         "Context window saturation",
-        "max_context_saturation_onboarding >= 0.90D",
+        "nanvl(max_context_saturation_onboarding, CAST(NULL AS DOUBLE)) >= 0.90D",
         "Recommend upgrade to larger context model",
         "AE",
     ),

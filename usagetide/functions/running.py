@@ -15,12 +15,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import materialize
 
 RANGE_ROWS = 200_000
-MAX_RANGES = 4096
 
 
 def _range_edges(df: DataFrame, column: str, rows: int, range_rows: int) -> list[float]:
     """Interior cut points; a short list whatever the size of ``df``."""
-    ranges = min(MAX_RANGES, -(-rows // range_rows))
+    ranges = -(-rows // range_rows)
     if ranges <= 1:
         return []
     probabilities = [i / ranges for i in range(1, ranges)]
@@ -49,8 +48,9 @@ def running_totals(
 
     ``df`` must hold one row per value of ``order`` (and ``groups``); ``order``
     is a double. ``groups`` is meant for a handful of values such as a flag.
+    Rows whose ``order`` is NULL or NaN have no place and are left out, whatever the size.
     """
-    df = materialize(df)
+    df = materialize(df.where(F.col(order).isNotNull() & ~F.isnan(F.col(order).cast("double"))))
     edges = _range_edges(df, order, df.count(), range_rows)
     ranged = with_ranges(df, order, edges)
 
@@ -63,7 +63,7 @@ def running_totals(
         out = ranged.withColumns({f"cum_{c}": F.sum(c).over(inside) for c in sums})
         return out.drop("range_id")
 
-    # One row per range and group: at most MAX_RANGES rows per group.
+    # One row per range and group.
     totals = ranged.groupBy(*keys).agg(*[F.sum(c).alias(f"part_{c}") for c in sums])
     before = (
         Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
@@ -72,9 +72,11 @@ def running_totals(
         *keys, *[F.coalesce(F.sum(f"part_{c}").over(before), F.lit(0)).alias(f"offset_{c}") for c in sums]
     )
     # Small by construction: one row per range and group.
-    joined = ranged.join(F.broadcast(offsets), keys)
+    named = offsets.withColumnsRenamed({k: f"of_{k}" for k in keys})
+    same = [ranged[k].eqNullSafe(named[f"of_{k}"]) for k in keys]
+    joined = ranged.join(F.broadcast(named), same)
     out = joined.withColumns({f"cum_{c}": F.sum(c).over(inside) + F.col(f"offset_{c}") for c in sums})
-    return out.drop("range_id", *[f"offset_{c}" for c in sums])
+    return out.drop("range_id", *named.columns)
 
 
 def global_ranks(rows: DataFrame, order: Sequence[str], parts: int, name: str = "place") -> DataFrame:
@@ -101,13 +103,15 @@ def hash_ranks(
     key: str,
     seed: int,
     groups: Sequence[str],
-    ranges: int = 1024,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add ``hash_rank`` (1-based, by seeded hash of ``key``) and ``group_rows``.
 
     The hash is uniform, so its top part cuts each group, however large, into
-    even ranges; a rank is the place in its range plus the rows before it.
+    even ranges of about ``range_rows`` rows at most; a rank is the place in its
+    range plus the rows before it, so it does not depend on the number of ranges.
     """
+    ranges = max(1, -(-df.count() // range_rows))
     hashed = df.withColumn("row_hash", F.xxhash64(F.col(key), F.lit(seed)))
     share = F.pmod(F.shiftrightunsigned("row_hash", 33), F.lit(2**31)).cast("double") / float(2**31)
     ranged = hashed.withColumn("range_id", F.floor(share * ranges).cast("int"))
@@ -124,7 +128,7 @@ def hash_ranks(
     inside = Window.partitionBy(*keys).orderBy(
         F.shiftrightunsigned("row_hash", 33), "row_hash", key
     )
-    # Small by construction: at most ``ranges`` rows per group.
+    # One row for each range of a group.
     return (
         ranged.join(F.broadcast(offsets), keys)
         .withColumn("hash_rank", F.row_number().over(inside) + F.col("rows_before"))

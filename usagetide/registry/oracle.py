@@ -13,6 +13,15 @@ from ..operators.scoring import NUMERIC_FEATURES
 from ..operators.whatif import SCENARIOS
 
 HORIZON = 30
+# Fixed values, written out here so that the code under test cannot change both sides.
+RULES = [
+    ("count_429_onboarding >= 3", "High rate limit frequency", "Increase RPM quota — escalate to Solutions Engineering", "AE + SE"),
+    ("avg_ttft_ms_onboarding >= 400", "High TTFT (latency)", "Route to lower-latency deployment or regional endpoint", "Infra + AE"),
+    ("max_context_saturation_onboarding >= 0.90", "Context window saturation", "Recommend upgrade to larger context model", "AE"),
+    ("count_500_onboarding + count_503_onboarding >= 3", "Elevated server error rate", "Flag for infrastructure investigation", "Engineering"),
+    ("avg_cache_ratio_onboarding < 0.10", "Low prompt cache utilisation", "Proactive prompt caching workshop", "Customer Success"),
+]
+DEFAULT_RULE = ("Declining velocity", "Proactive check-in call — use-case review", "AE")
 LEVELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
@@ -50,8 +59,9 @@ def risk(ttft: str, n429: str) -> str:
 
 
 def rule_case(field: str) -> str:
-    rules = [(f"COALESCE({r.when.replace('D', '')}, FALSE)", quote(getattr(r, field))) for r in B.RULES]
-    return case(rules, quote(getattr(B.DEFAULT_RULE, field)))
+    place = ("trigger", "action", "owner").index(field)
+    rules = [(f"COALESCE({when}, FALSE)", quote(texts[place])) for when, *texts in RULES]
+    return case(rules, quote(DEFAULT_RULE[place]))
 
 
 CODES = (429, 500, 503, 400)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from functools import cached_property
 
@@ -22,13 +23,11 @@ from ..operators import survival as V
 from ..operators import whatif as W
 from ..plans import models as M
 from ..plans.pipeline import Pipeline
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import readers, sinks, star
 
 # The test tables cover 30 days.
 HORIZON = 30
-# Boosting costs several short jobs per tree; five folds of 100 trees take minutes.
-CV_TREES = 20
 _inputs: dict[tuple[str, str], Inputs] = {}
 _models: dict[tuple[str, str], PipelineModel] = {}
 
@@ -153,10 +152,10 @@ def require_sources(i: Inputs) -> DataFrame:
 
 
 def register_model(i: Inputs) -> DataFrame:
-    sinks.register_model(i.stg, "stg_daily_usage")
-    return i.spark.sql(
-        "SELECT industry, count(*) AS n, sum(total_tokens) AS tokens FROM stg_daily_usage GROUP BY industry"
-    )
+    # A name for each folder, so that one folder never replaces another's.
+    name = f"stg_daily_usage_{zlib.crc32(i.folder.encode()):08x}"
+    sinks.register_model(i.stg, name)
+    return i.spark.sql(f"SELECT industry, count(*) AS n, sum(total_tokens) AS tokens FROM {name} GROUP BY industry")
 
 
 def persist_model(i: Inputs) -> DataFrame:
@@ -180,7 +179,11 @@ def write_results(i: Inputs) -> DataFrame:
 
 def cache_model(i: Inputs) -> DataFrame:
     cached = sinks.cache_model(i.features)
-    return cached.groupBy("contract_tier").agg(F.count(F.lit(1)).alias("n"))
+    try:
+        # One row per tier, stored while the cache is there; then the cache goes.
+        return materialize(cached.groupBy("contract_tier").agg(F.count(F.lit(1)).alias("n")))
+    finally:
+        cached.unpersist()
 
 
 def save_load_model(i: Inputs) -> DataFrame:
@@ -471,7 +474,7 @@ REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {
     "stratified_split": stratified_split,
     "class_weight": class_weight,
     "train_churn_model": trained_scores,
-    "cross_validate": lambda i: S.cross_validate(i.features, trees=CV_TREES),
+    "cross_validate": lambda i: S.cross_validate(i.features),
     "roc_auc": lambda i: rounded(Q.roc_auc(i.scored, "churn_probability", "hard_churn_label"), "roc_auc"),
     "average_precision": lambda i: rounded(
         Q.average_precision(i.scored, "churn_probability", "hard_churn_label"), "average_precision"

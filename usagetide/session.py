@@ -33,13 +33,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` wins; a directory already set on the context comes
-    next; only where neither exists (unit tests, local runs) is a folder made.
+    next; only where neither exists on a single machine (tests, local runs) is a folder made.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     active = context.getCheckpointDir()
     if active is None:
         if configured is None:
+            if not context.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             configured = tempfile.mkdtemp(prefix="usagetide-checkpoint-")
         context.setCheckpointDir(configured)
     return configured or active
