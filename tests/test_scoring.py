@@ -65,6 +65,16 @@ def test_model_survives_saving(features, model, tmp_path):
     assert one == two and isinstance(S.load_model(path), PipelineModel)
 
 
+def test_a_batch_with_other_categories_scores_as_in_the_whole_table(spark, features, model):
+    whole = {r["company_id"]: r["probability"] for r in S.score(model, S.feature_matrix(features)).collect()}
+    batch = S.feature_matrix(features.where("industry = 'Tech'"))
+    part = {r["company_id"]: r["probability"] for r in S.score(model, batch).collect()}
+    assert part and all(whole[k] == p for k, p in part.items())
+    unknown = features.withColumn("industry", F.when(F.col("company_id") > "", F.lit(None).cast("string")))
+    rows = S.score(model, S.feature_matrix(unknown)).collect()
+    assert len(rows) == len(whole) and all(0 <= r["probability"] <= 1 for r in rows)
+
+
 def test_attributions_add_up_to_the_margin(spark, features, model):
     matrix = S.feature_matrix(features)
     probability = {r["company_id"]: r["probability"] for r in S.score(model, matrix).collect()}

@@ -18,3 +18,9 @@ def test_key_without_a_dimension_row_is_left_out(spark):
     dimension = spark.createDataFrame([("a", 5)], "k string, v int")
     got = join_split_hot(rows, dimension, "k", "id", 1).collect()
     assert sorted(r["id"] for r in got) == [1, 2]
+
+
+def test_hot_keys_are_few_whatever_the_limit(spark):
+    rows = spark.range(1000).select((F.col("id") % 100).alias("k"))
+    assert len(hot_keys(rows, "k", 1, most=10).collect()) < 10
+    assert hot_keys(rows.where("k < 0"), "k", 1).count() == 0

@@ -21,7 +21,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from .scoring import FEATURES
+from .scoring import FEATURES, with_model_codes
 
 
 class PathFeature(NamedTuple):
@@ -124,13 +124,13 @@ def attribution(model: PipelineModel, matrix: DataFrame, key: str = "company_id"
     # Plain tuples: a broadcast value is unpickled without this package.
     plain = [(leaf.value, [tuple(feature) for feature in leaf.features]) for leaf in forest]
     shared = spark.sparkContext.broadcast(plain)
-    rows = matrix.select(key, *[F.col(c).cast("double").alias(c) for c in FEATURES])
+    rows = with_model_codes(model, matrix).select(key, *[F.col(c).cast("double").alias(c) for c in FEATURES])
     key_type = rows.schema[key].dataType.simpleString()
     schema = ", ".join([f"{key} {key_type}", *[f"{c} double" for c in FEATURES], "base_value double", "margin double"])
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trees = [Leaf(value, [PathFeature(*f) for f in path]) for value, path in shared.value]
         for batch in batches:
-            trees = [Leaf(value, [PathFeature(*f) for f in path]) for value, path in shared.value]
             values = attribute_batch(batch[FEATURES].to_numpy(dtype=np.float64), trees)
             out = pd.DataFrame(values, columns=FEATURES)
             out.insert(0, key, batch[key].to_numpy())

@@ -88,7 +88,10 @@ def cumulative_churn(churn: DataFrame, last_day: int = 90, events_only: bool = F
 
 
 def onset_histogram(churn: DataFrame, bins: int = 20) -> DataFrame:
-    """Equal-width histogram of the onset day of churned accounts, with the median."""
+    """Equal-width histogram of the onset day of churned accounts, with the median; empty bins count 0.
+
+    No rows where no account churned.
+    """
     # Durations are whole days, so this is at most one row per day.
     days = (
         churn.where("hard_churn_label").groupBy(F.col("days_to_hard_churn").alias("day")).agg(
@@ -101,11 +104,18 @@ def onset_histogram(churn: DataFrame, bins: int = 20) -> DataFrame:
         )
     ).scalar()
     low, high = F.col("edges.low"), F.col("edges.high")
-    return (
+    filled = (
         days.withColumn("edges", edges)
         .withColumn("bin", equal_width_bin(F.col("day"), low, high, bins))
-        .groupBy("bin", "edges")
+        .groupBy("bin")
         .agg(F.sum("n").alias("n"))
+    )
+    return (
+        _spine(churn, 0, bins - 1, "bin")
+        .join(filled, "bin", "left")
+        .withColumn("edges", edges)
+        .where("edges.low IS NOT NULL")
+        .withColumn("n", F.coalesce("n", F.lit(0)))
         .select(
             "bin",
             bin_start(low, high, bins, F.col("bin")).alias("bin_start"),
@@ -245,10 +255,10 @@ def errors_join_signup_day(errors: DataFrame, stg: DataFrame, hot_rows: int = HO
     )
 
 
-def errors_by_onboarding_day(errors: DataFrame, stg: DataFrame, churn: DataFrame, code: int = 429) -> DataFrame:
+def errors_by_onboarding_day(errors: DataFrame, churn: DataFrame, code: int = 429) -> DataFrame:
     """Count of one code per onboarding day for treated accounts, zero-filled.
 
-    Events are counted per company and day before the joins.
+    Events are counted per company and day before the join; ``churn`` holds the signup dates.
     """
     daily = (
         errors.where(F.col("error_code") == code)
@@ -256,8 +266,7 @@ def errors_by_onboarding_day(errors: DataFrame, stg: DataFrame, churn: DataFrame
         .agg(F.count(F.lit(1)).alias("n"))
     )
     placed = (
-        group_semi_join(daily, churn, treated=True)
-        .join(distinct_signups(stg), "company_id")
+        daily.join(churn.where("is_treatment").select("company_id", "signup_date"), "company_id")
         .select(B.day_since_signup("error_date", "signup_date").alias("day_since_signup"), "n")
         .where(F.col("day_since_signup").between(0, 13))
         .groupBy("day_since_signup")

@@ -75,17 +75,23 @@ def format_display(feed: DataFrame) -> DataFrame:
 
 
 def risk_histogram(scored: DataFrame, column: str = "churn_probability", bins: int = 30) -> DataFrame:
-    """Counts in equal bins of [0, 1]."""
-    return scored.groupBy(equal_width_bin(F.col(column), F.lit(0.0), F.lit(1.0), bins).alias("bin")).agg(
+    """Counts in equal bins of [0, 1]; empty bins count 0."""
+    filled = scored.groupBy(equal_width_bin(F.col(column), F.lit(0.0), F.lit(1.0), bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )
+    spine = scored.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return spine.join(filled, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def risk_histogram_overlay(long_risk: DataFrame, bins: int = 30) -> DataFrame:
-    """Counts per series and bin; both series share the bins."""
-    return long_risk.groupBy(
+    """Counts per series and bin; both series share the bins, and empty bins count 0."""
+    filled = long_risk.groupBy(
         "series", equal_width_bin(F.col("risk"), F.lit(0.0), F.lit(1.0), bins).alias("bin")
     ).agg(F.count(F.lit(1)).alias("n"))
+    # A series has at most ``bins`` rows here, a handful of series in all.
+    series = filled.select("series").distinct()
+    spine = series.select("series", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return spine.join(filled, ["series", "bin"], "left").select("series", "bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def risk_by_industry(scored: DataFrame) -> DataFrame:

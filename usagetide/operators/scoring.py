@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Row, functions as F
@@ -43,20 +43,36 @@ FEATURES = [*NUMERIC_FEATURES, *ENCODED.values()]
 LABEL = "hard_churn_label"
 
 
-def encode_labels(df: DataFrame, columns: dict[str, str] = ENCODED) -> DataFrame:
-    """Category to its place in alphabetical order, as a double."""
+def label_encoder(columns: dict[str, str] = ENCODED) -> Pipeline:
+    """Category to its place in alphabetical order, as a double; NULL and unseen ones share the next place."""
+    codes = [f"{c}_code" for c in columns]
     indexer = StringIndexer(
-        inputCols=list(columns), outputCols=list(columns.values()), stringOrderType="alphabetAsc"
+        inputCols=list(columns), outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep"
     )
-    return indexer.fit(df).transform(df)
+    # A cast drops the category list, so that trees split codes like any other number.
+    numbers = ", ".join(f"CAST({code} AS DOUBLE) AS {out}" for code, out in zip(codes, columns.values()))
+    return Pipeline(stages=[indexer, SQLTransformer(statement=f"SELECT *, {numbers} FROM __THIS__")])
+
+
+def encode_labels(df: DataFrame, columns: dict[str, str] = ENCODED) -> DataFrame:
+    """Codes fitted on ``df`` itself; a trained model scores with the codes it was fitted with."""
+    return label_encoder(columns).fit(df).transform(df).drop(*[f"{c}_code" for c in columns])
+
+
+def with_model_codes(model: PipelineModel, matrix: DataFrame) -> DataFrame:
+    """``matrix`` with its categories encoded as in the fit of ``model``."""
+    encoded = model.stages[0].transform(matrix.drop(*ENCODED.values()))
+    return encoded.select(*matrix.columns)
+
+
+def _numbers_and_label(features: DataFrame) -> DataFrame:
+    numbers = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in NUMERIC_FEATURES}
+    return features.withColumns(numbers).withColumn("label", F.col(LABEL).cast("int").cast("double"))
 
 
 def feature_matrix(features: DataFrame) -> DataFrame:
     """Encoded categories, missing numbers as 0 and a 0/1 ``label``."""
-    numbers = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in NUMERIC_FEATURES}
-    return (
-        encode_labels(features).withColumns(numbers).withColumn("label", F.col(LABEL).cast("int").cast("double"))
-    )
+    return _numbers_and_label(encode_labels(features))
 
 
 def stratified_split(
@@ -94,7 +110,7 @@ def with_weights(df: DataFrame, weight: float) -> DataFrame:
 
 
 def churn_classifier(weighted: bool = True, trees: int = 100) -> Pipeline:
-    """Assembler and boosted trees with the fixed hyper-parameters."""
+    """Encoder, assembler and boosted trees with the fixed hyper-parameters."""
     booster = GBTClassifier(
         featuresCol="features",
         labelCol="label",
@@ -107,7 +123,8 @@ def churn_classifier(weighted: bool = True, trees: int = 100) -> Pipeline:
     )
     if weighted:
         booster = booster.setWeightCol("weight")
-    return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), booster])
+    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    return Pipeline(stages=[label_encoder(), assembler, booster])
 
 
 ROWS_PER_TASK = 50_000
@@ -121,7 +138,7 @@ def _training_set(rows: DataFrame, balance: Row, *extra: str) -> DataFrame:
     of tasks sets the run time; ``coalesce`` never adds partitions.
     """
     tasks = -(-(balance["negatives"] + balance["positives"]) // ROWS_PER_TASK)
-    weighted = with_weights(rows, balance["weight"]).select("label", "weight", *extra, *FEATURES)
+    weighted = with_weights(rows, balance["weight"]).select("label", "weight", *extra, *ENCODED, *NUMERIC_FEATURES)
     return materialize(weighted.coalesce(max(1, tasks))).persist()
 
 
@@ -132,7 +149,7 @@ def _stored(features: DataFrame) -> DataFrame:
 
 def train_churn_model(features: DataFrame, trees: int = 100) -> PipelineModel:
     """Fit on the 70 % side of the split, churners weighted by class balance."""
-    split = stratified_split(feature_matrix(_stored(features)))
+    split = stratified_split(_numbers_and_label(_stored(features)))
     train = split.where(~F.col("is_test"))
     train = _training_set(train, class_weight(train).first())
     try:
@@ -142,16 +159,19 @@ def train_churn_model(features: DataFrame, trees: int = 100) -> PipelineModel:
 
 
 def score(model: PipelineModel, matrix: DataFrame, output: str = "probability") -> DataFrame:
-    """Add the churn probability of each row of a feature matrix."""
+    """Add the churn probability of each row of a feature matrix.
+
+    Categories are encoded as in training, whatever codes ``matrix`` carries.
+    """
     kept = [c for c in matrix.columns if c != output]
-    raw = matrix.select(*kept)
+    raw = matrix.select(*kept).drop(*ENCODED.values())
     return model.transform(raw).select(*kept, vector_to_array("probability")[1].alias(output))
 
 
 def cross_validate(features: DataFrame, folds: int = 5, trees: int = 100, parallelism: int = 5) -> DataFrame:
     """Mean and population deviation of the ROC-AUC over stratified folds."""
     spark = features.sparkSession
-    data = stratified_folds(feature_matrix(_stored(features)), folds)
+    data = stratified_folds(_numbers_and_label(_stored(features)), folds)
     # The fit of the reference metric weights churners by the whole set.
     data = _training_set(data, class_weight(data).first(), "fold")
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")

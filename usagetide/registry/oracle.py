@@ -373,7 +373,11 @@ def with_relations(body: str) -> str:
 
 
 def histogram(source: str, value: str, bins: int) -> str:
-    return f"SELECT CAST(LEAST(FLOOR({value} / (CAST(1 AS DOUBLE) / {bins})), {bins - 1}) AS INTEGER) AS bin, COUNT(*) AS n FROM {source} GROUP BY 1"
+    return f"""
+        SELECT CAST(b AS INTEGER) AS bin, COUNT(v) AS n
+        FROM range(0, {bins}) r(b) LEFT JOIN (
+            SELECT {value} AS v, LEAST(FLOOR({value} / (CAST(1 AS DOUBLE) / {bins})), {bins - 1}) AS place FROM {source}) x
+            ON x.place = r.b GROUP BY b"""
 
 
 def check(name: str, expression: str, source: str) -> str:
@@ -609,15 +613,18 @@ BODIES: dict[str, str] = {
                {rnd('CAST(COUNT(*) FILTER (WHERE days_to_hard_churn <= d) AS DOUBLE) / COUNT(*) * 100')} AS cumulative_pct
         FROM churn, range(0, 91) r(d) GROUP BY d""",
     "onset_histogram": f"""
-        SELECT bin, {rnd('lo + bin * w')} AS bin_start, {rnd('lo + bin * w + w')} AS bin_end, COUNT(*) AS n,
-               {rnd('MAX(med)')} AS median_onset
-        FROM (SELECT CAST(LEAST(FLOOR((days_to_hard_churn - lo) / w), 19) AS INTEGER) AS bin, lo, w, med
-              FROM churn, (SELECT CASE WHEN a = b THEN a - 0.5 ELSE a END::DOUBLE AS lo,
-                                  CASE WHEN a = b THEN 1 ELSE b - a END::DOUBLE / 20 AS w, med
-                           FROM (SELECT MIN(days_to_hard_churn) AS a, MAX(days_to_hard_churn) AS b,
-                                        median(days_to_hard_churn) AS med FROM churn WHERE hard_churn_label))
-              WHERE hard_churn_label)
-        GROUP BY bin, lo, w""",
+        SELECT * FROM (WITH edges AS (
+            SELECT CASE WHEN a = b THEN a - 0.5 ELSE a END::DOUBLE AS lo,
+                   CASE WHEN a = b THEN 1 ELSE b - a END::DOUBLE / 20 AS w, med
+            FROM (SELECT MIN(days_to_hard_churn) AS a, MAX(days_to_hard_churn) AS b,
+                         median(days_to_hard_churn) AS med FROM churn WHERE hard_churn_label)
+            WHERE a IS NOT NULL),
+        placed AS (
+            SELECT LEAST(FLOOR((days_to_hard_churn - lo) / w), 19) AS place FROM churn, edges WHERE hard_churn_label)
+        SELECT CAST(b AS INTEGER) AS bin, {rnd('lo + b * w')} AS bin_start, {rnd('lo + b * w + w')} AS bin_end,
+               COUNT(place) AS n, {rnd('MAX(med)')} AS median_onset
+        FROM range(0, 20) r(b) CROSS JOIN edges LEFT JOIN placed ON place = b
+        GROUP BY b, lo, w)""",
     "median_onset": f"SELECT {rnd('median(days_to_hard_churn)')} AS median_onset_days FROM churn WHERE is_treatment",
     "pre_churn_curve": f"""
         SELECT days_to_onset, {rnd('AVG(total_tokens)')} AS avg_tokens, COUNT(*) AS n_rows

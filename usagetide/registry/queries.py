@@ -86,6 +86,10 @@ class Inputs:
     def velocity(self) -> DataFrame:
         return self.pipe.int_usage_velocity
 
+    @property
+    def weeks(self) -> DataFrame:
+        return M.int_cohort_health(self.velocity, sort=False)
+
     @property
     def churn(self) -> DataFrame:
         return self.pipe.fct_cohort_churn
@@ -312,10 +316,10 @@ REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "friction_bucket": lambda i: i.pipe.int_friction_flags.select("company_id", "friction_bucket"),
     "control_flag": lambda i: i.churn.select("company_id", "is_control"),
-    "retention_ratios": lambda i: i.pipe.int_cohort_health.select(
+    "retention_ratios": lambda i: i.weeks.select(
         "company_id", "week_num", "retention_vs_peak", "wow_retention_rate"
     ),
-    "peak_week_flag": lambda i: i.pipe.int_cohort_health.select("company_id", "week_num", "is_peak_week"),
+    "peak_week_flag": lambda i: i.weeks.select("company_id", "week_num", "is_peak_week"),
     "churn_labels": lambda i: i.churn.select(
         "company_id",
         "hard_churn_label",
@@ -407,7 +411,7 @@ REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {
     "heatmap_finding": lambda i: rounded(
         H.heatmap_finding(H.cohort_heatmap(i.stg, i.churn)), "severe_drop_pct", "none_growth_pct"
     ),
-    "errors_by_onboarding_day": lambda i: H.errors_by_onboarding_day(i.errors, i.stg, i.churn),
+    "errors_by_onboarding_day": lambda i: H.errors_by_onboarding_day(i.errors, i.churn),
     "ttft_by_day_group": lambda i: rounded(H.ttft_by_day_group(i.stg, i.churn), "avg_ttft_ms"),
     "churn_by_industry": lambda i: rounded(H.churn_by_industry(i.churn), "treatment", "control"),
     "time_to_churn_by_tier": lambda i: rounded(H.time_to_churn_by_tier(i.churn), "mean_days", "std_days"),
@@ -434,7 +438,7 @@ REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {
     "prev_day_tokens": lambda i: M.with_lags(i.stg).select("log_id", "total_tokens", "prev_day_tokens"),
     "tokens_7d_ago": lambda i: M.with_lags(i.stg).select("log_id", "total_tokens", "tokens_7d_ago"),
     "int_usage_velocity": lambda i: i.velocity,
-    "peak_weekly_tokens": lambda i: i.pipe.int_cohort_health.select("company_id", "week_num", "peak_weekly_tokens"),
+    "peak_weekly_tokens": lambda i: i.weeks.select("company_id", "week_num", "peak_weekly_tokens"),
     "prev_week_tokens": lambda i: rounded(
         M.weekly_with_peak(i.velocity).select("company_id", "week_num", "prev_week_tokens"), "prev_week_tokens"
     ),
