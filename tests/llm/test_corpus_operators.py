@@ -50,6 +50,23 @@ def test_language_learns_and_rejects(shared, odd_docs, no_docs):
     assert {r.lang_pred for r in empty} == {"und"}
 
 
+def test_language_of_texts_above_the_buffer(shared):
+    size = 3 << 20
+    spaced = (prose(7, 1000) + " ") * (size // 5000)
+    texts = [spaced[:size], "x" * size, "日本語" * (size // 9), " " * size + "le chat", spaced[: T.BUFFER_BYTES], spaced[: T.BUFFER_BYTES + 1]]
+    table = np.random.default_rng(1).normal(size=(language.BUCKETS, 3)).astype(np.float32)
+    for t in texts:
+        data = t.encode()
+        total, count = language._sums([data], table)
+        want = np.concatenate([language.grams(b"\n" + data + b"\n", order, len(table))[1] for order in language.ORDERS])
+        assert total.shape == (1, 3) and count.tolist() == [len(want)]
+        close = 1e-6 if len(data) > T.BUFFER_BYTES else 1e-2  # up to the buffer, sums are of single precision
+        assert np.allclose(total[0], np.bincount(want, minlength=len(table)) @ table.astype(float), rtol=close, atol=close * len(want))
+    model = language.LanguageModel(["a", "b", "c"], table, np.zeros(3))
+    got = {r.doc_id: r for r in language.identify(shared.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), model).collect()}
+    assert sorted(got) == list(range(len(texts))) and all(r.lang_pred in "abc" for r in got.values())
+
+
 # ---------------------------------------------------------------- 2
 
 

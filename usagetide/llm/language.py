@@ -76,9 +76,11 @@ def grams(data: bytes, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray
 def _bag(data: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
     total = np.zeros(buckets, dtype=np.int64)
-    for part in T.cut(data):
+    data = b"\n" + data + b"\n"
+    # Parts overlap by what an n-gram needs, so each starts in one part and a word may be of any length.
+    for at in range(0, len(data), T.BUFFER_BYTES):
         for order in ORDERS:
-            total += np.bincount(grams(b"\n" + part + b"\n", order, buckets)[1], minlength=buckets)
+            total += np.bincount(grams(data[at : at + T.BUFFER_BYTES + order - 1], order, buckets)[1], minlength=buckets)
     ids = np.flatnonzero(total)
     return ids.astype(np.uint32), total[ids].astype(np.uint32)
 
@@ -179,8 +181,8 @@ def _train(rows: list, langs: list[str], s: Settings) -> LanguageModel:
 def _sums(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Summed class scores and number of n-grams of each text."""
     if len(texts) == 1 and len(texts[0]) > T.BUFFER_BYTES:
-        parts = [_sums([p], table) for p in T.cut(texts[0])]
-        return sum(p[0] for p in parts), sum(p[1] for p in parts)
+        ids, counts = _bag(texts[0], len(table))
+        return (counts.astype(np.float64) @ table[ids])[None, :], np.array([counts.sum()], dtype=np.int64)
     data = b"\n" + b"\n".join(texts) + b"\n"
     starts = np.cumsum([1] + [len(t) + 1 for t in texts])
     total = np.zeros((len(texts), table.shape[1]))
