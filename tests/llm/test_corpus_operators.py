@@ -268,6 +268,55 @@ def test_near_duplicates_in_small_blocks(shared):
         assert sorted(map(tuple, got), key=str) == want
 
 
+def test_near_copies_of_a_short_text_stay_in_blocks(shared, monkeypatch):
+    base, other = prose(60, 19), prose(61, 19)
+    rows = [(k, f"{base} last{k}") for k in range(400)] + [(400 + k, f"{other} end{k}") for k in range(60)] + [(500, prose(62, 40))]
+    runs = []
+    verified = neardup._verified
+
+    def counted(parts, s):
+        parts = neardup.frames.materialize(parts)
+        runs.extend(r["count"] for r in parts.groupBy("cluster", "i", "j").count().collect())
+        return verified(parts, s)
+
+    monkeypatch.setattr(neardup, "_verified", counted)
+    docs = shared.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.near_duplicates(docs, settings=neardup.Settings(bucket_nodes=32)).collect()
+    want = {k: 0 if k < 400 else 400 if k < 460 else 500 for k, _ in rows}
+    assert {r.doc_id: r.component_id for r in got} == want
+    # No task holds much more than a block, and texts are not repeated for every pair of blocks.
+    assert max(runs) <= 3 * 32 and sum(runs) <= 2 * len(rows)
+
+
+def test_cut_clusters_give_the_links_of_whole_ones(shared):
+    # Two families whose signatures are close and whose texts are not similar enough, and a chain between blocks.
+    rng = np.random.default_rng(8)
+    base = prose(70, 120).split()
+    rows = []
+    for k in range(120):
+        w = list(base)
+        for at in rng.integers(0, 120, rng.integers(1, 4)):
+            w[at] = f"v{rng.integers(40)}"
+        rows.append((k, " ".join(w)))
+    docs = shared.createDataFrame(rows, "doc_id long, text string")
+    want = groups_by_force(rows)
+    got = neardup.near_duplicates(docs, settings=neardup.Settings(bucket_nodes=9)).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert len({r[2] for r in want}) > 3 and sorted(map(tuple, got), key=str) == want
+
+
+def test_exact_links_need_no_square_matrix():
+    import tracemalloc
+
+    n, s = 20_000, neardup.Settings()
+    shared_part = np.arange(100, 115, dtype=np.uint64)
+    sets = [np.append(shared_part, np.uint64(1000 + k)) for k in range(n)]
+    tracemalloc.start()
+    found = neardup._exact_links(np.arange(n), sets, np.zeros((n, s.longs), np.uint64), np.repeat([0, 1], n // 2), s)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 1 and peak < 50e6  # n x n booleans are 400 MB
+
+
 def test_components_of_a_long_chain(shared):
     edges = shared.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 100), (200, 201), (201, 200)], "a long, b long")
     got = {r.node: r.component for r in components.components(edges).collect()}

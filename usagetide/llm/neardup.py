@@ -8,6 +8,7 @@
    (over four standard deviations) are dropped. Within a band bucket the surviving pairs only link nodes
    to clusters; they are never written out as pairs.
 4. Each cluster, cut into blocks of bounded size where it is large, is checked on the full shingle sets.
+   Blocks meet by one node of each group first; after that only nodes outside the largest group are repeated.
    A union-find skips pairs that are already connected, so a group of any size yields a spanning forest
    of exact links, and connected components of those links are the groups.
 
@@ -17,7 +18,7 @@ The chance to miss a link at similarity 0.85 is (1 - 0.85^6)^32, about 3 in 10 m
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +37,7 @@ class Settings:
     bits: int = 2
     percent: int = 85
     margin: float = 0.13
-    #: Nodes of one bucket, and shingles of one cluster, that a task compares at once; more are cut into blocks.
+    #: Nodes of a bucket or cluster, and shingles of a cluster, that a task compares at once; more are cut into blocks.
     bucket_nodes: int = 4096
     block_shingles: int = 1_500_000
     seed: int = 3
@@ -163,18 +164,14 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _close(sig: np.ndarray, most: int) -> np.ndarray:
-    """Boolean matrix of pairs with at most ``most`` unequal fields."""
-    m = len(sig)
-    out = np.empty((m, m), dtype=bool)
-    step = max(1, (1 << 20) // max(1, m))
-    for at in range(0, m, step):
-        total = np.zeros((min(step, m - at), m), dtype=np.uint16)
-        for k in range(sig.shape[1]):
-            d = sig[at : at + step, None, k] ^ sig[None, :, k]
-            total += np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(_FIELD))
-        out[at : at + step] = total <= most
-    return out
+def _close(sig: np.ndarray, x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
+    """Boolean matrix: which of the places ``x`` (rows) and ``y`` have at most ``most`` unequal fields."""
+    left, right = sig[x], sig[y]
+    total = np.zeros((len(x), len(y)), dtype=np.uint16)
+    for k in range(sig.shape[1]):
+        d = left[:, None, k] ^ right[None, :, k]
+        total += np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(_FIELD))
+    return total <= most
 
 
 def _sig_matrix(column: pa.ChunkedArray, longs: int) -> np.ndarray:
@@ -200,44 +197,92 @@ def clusters(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     right = sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
     near = pairs.join(left, "a").join(right, "b").where(_unequal(F.col("sig_a"), F.col("sig_b"), s) <= s.most_unequal).select("a", "b")
 
-    # Larger buckets: a block pair holds all pairs of two blocks; nearly all buckets are one block.
+    # Larger buckets, nearly all of one block.
     blocks = F.ceil(F.col("n") / s.bucket_nodes).cast("int")
     large = members.join(once.where("n > 2").select("bucket", blocks.alias("blocks")), "bucket")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(
-        F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), F.col("own"))))
-    placed = (
-        large.withColumn("own", own).withColumn("other", other)
-        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
-        .join(sigs, "node")
-        .select("bucket", "i", "j", "node", "sig")
-        .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    )
+    places = large.select(F.col("bucket").alias("cluster"), "blocks", own.alias("own"), "node")
     most, longs = s.most_unequal, s.longs
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for run in _runs(batches, 3):
-            node = run.column(3).to_numpy()
-            close = _close(_sig_matrix(run.column(4), longs), most)
-            free = np.ones(len(node), dtype=bool)
-            for root in range(len(node)):
-                if not free[root]:
-                    continue
-                free[root] = False
-                front = np.array([root])
-                while len(front):
-                    reach = np.flatnonzero(close[front].any(axis=0) & free)
-                    free[reach] = False
-                    b.extend([int(node[root])] * len(reach))
+            node, first = np.unique(run.column(3).to_numpy(), return_index=True)
+            sig = _sig_matrix(run.column(4), longs)[first]
+            free = np.arange(len(node))
+            while len(free):
+                root, front, free = int(node[free[0]]), free[:1], free[1:]
+                while len(front) and len(free):
+                    step = max(1, (1 << 20) // len(free))
+                    part, front = front[:step], front[step:]
+                    near_it = _close(sig, part, free, most).any(axis=0)
+                    reach, free = free[near_it], free[~near_it]
+                    b.extend([root] * len(reach))
                     a.extend(node[reach].tolist())
-                    front = reach
+                    front = np.concatenate((front, reach))
             if len(a) > 100_000:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return components(near.unionByName(placed.mapInArrow(link, "a long, b long")))
+    def linked(parts: DataFrame) -> DataFrame:
+        placed = parts.join(sigs, "node").select("cluster", "i", "j", "node", "sig")
+        return placed.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node").mapInArrow(link, "a long, b long")
+
+    inside = linked(places.withColumn("i", F.col("own")).withColumn("j", F.col("own")))
+    if once.where(F.col("n") > s.bucket_nodes).isEmpty():
+        return components(near.unionByName(inside))
+    inside = frames.materialize(near.unionByName(inside))
+    return components(_across(frames.materialize(places.where("blocks > 1")), inside, linked))
+
+
+def _across(places: DataFrame, inside: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``inside`` and further links between blocks, enough to connect what ``linked`` would in whole clusters.
+
+    ``places`` has ``cluster``, ``blocks``, ``own`` (block) and ``node``; ``inside`` has links in single blocks.
+    ``linked`` finds links in each (cluster, i, j) of rows that also have ``group``. First, the largest groups
+    of all blocks of a cluster meet by one node each, at most about a block of them. Then two nodes of different
+    groups include one outside the cluster's largest group: those are few as a rule, and only they go to every
+    block. Where they are more than half of a cluster, its blocks meet in pairs. One group needs nothing more.
+    """
+
+    def grouped(links: DataFrame) -> DataFrame:
+        group = components(links)
+        return frames.materialize(places.join(group, "node", "left").select(*places.columns, F.coalesce("component", "node").alias("group")))
+
+    before = grouped(inside)
+    sizes = places.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    each = F.greatest(F.lit(1), F.ceil(F.col("n") / F.col("blocks") / F.col("blocks")))
+    # A window holds the groups of one block.
+    rank = F.row_number().over(Window.partitionBy("cluster", "own").orderBy(F.desc("size"), "group"))
+    first = (
+        before.groupBy("cluster", "blocks", "own", "group").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("node"))
+        .withColumn("rank", rank).join(sizes, "cluster").where(F.col("rank") <= each)
+        .select("cluster", F.lit(-1).alias("i"), F.lit(-1).alias("j"), "node", "group")
+    )
+    links = frames.materialize(inside.unionByName(linked(first)))
+
+    after = grouped(links)
+    groups = after.groupBy("cluster", "group").agg(F.count(F.lit(1)).alias("size"))
+    whole = groups.groupBy("cluster").agg(
+        F.sum("size").alias("n"), F.max("size").alias("most"), F.max_by("group", F.struct("size", "group")).alias("main")
+    ).where("n > most")
+    rest = F.col("n") - F.col("most")
+    parts = F.ceil(F.col("blocks") * rest / F.col("n")).cast("int")
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
+    numbers = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    pairs = F.transform(F.array_remove(numbers("blocks"), F.col("own")), lambda o: pair(F.least("own", o), F.greatest("own", o)))
+    stays = F.transform(numbers("parts"), lambda j: pair(F.col("own"), j))
+    goes = F.transform(numbers("blocks"), lambda i: pair(i, F.col("part")))
+    at = F.when(2 * rest > F.col("n"), pairs).when(F.col("group") == F.col("main"), stays).otherwise(F.concat(stays, goes))
+    crossed = (
+        after.join(whole, "cluster").withColumn("parts", parts).withColumn("part", part)
+        .select("cluster", "node", "group", F.explode(at).alias("at")).select("cluster", "at.i", "at.j", "node", "group")
+    )
+    if whole.isEmpty():
+        return links
+    return frames.materialize(links.unionByName(linked(crossed)))
 
 
 class _Forest:
@@ -258,13 +303,14 @@ def _exact_links(node: np.ndarray, sets: list[np.ndarray], sig: np.ndarray, grou
     """Links that connect what is similar, between nodes of different ``group``s: a spanning forest of them."""
     order = np.argsort(node, kind="stable")
     forest, found = _Forest(np.unique(group, return_inverse=True)[1]), []
-    close = _close(sig, s.most_unequal)
     size = np.array([len(z) for z in sets], dtype=np.int64)
     for place, x in enumerate(order):
         rest = order[:place]
-        rest = rest[close[x, rest] & (forest.label[rest] != forest.label[x])]
+        rest = rest[forest.label[rest] != forest.label[x]]
         # Sizes alone rule out what cannot reach the threshold.
         rest = rest[100 * np.minimum(size[rest], size[x]) >= s.percent * np.maximum(size[rest], size[x])]
+        if len(rest):
+            rest = rest[_close(sig, np.array([x]), rest, s.most_unequal)[0]]
         step = 1
         while len(rest):
             part, rest = rest[:step], rest[step:]
@@ -306,8 +352,8 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, settings: Sett
     s = settings
     clustered = frames.materialize(clusters(nodes, s).withColumnRenamed("component", "cluster"))
     wanted = nodes.join(clustered, "node").select("node", "cluster", "sig", "n_shingles", "id", "text_hash")
-    sizes = wanted.groupBy("cluster").agg(F.sum("n_shingles").alias("total"))
-    blocks = F.ceil(F.col("total") / s.block_shingles).cast("int")
+    sizes = wanted.groupBy("cluster").agg(F.sum("n_shingles").alias("total"), F.count(F.lit(1)).alias("n"))
+    blocks = F.greatest(F.ceil(F.col("total") / s.block_shingles), F.ceil(F.col("n") / s.bucket_nodes)).cast("int")
     wanted = wanted.join(sizes.select("cluster", blocks.alias("blocks")), "cluster")
     source = docs.select(F.col(key).cast("long").alias("d_id"), F.xxhash64(text).alias("d_hash"), T.utf8(text).alias("data"))
     same = source["d_id"].eqNullSafe(wanted["id"]) & (source["d_hash"] == wanted["text_hash"])
@@ -322,14 +368,13 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, settings: Sett
     large = texts.where("blocks > 1")
     if large.isEmpty():
         return inside
-    # Between blocks: only pairs that the blocks' own links have not connected.
-    group = components(inside)
-    labelled = large.join(group, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    other = F.explode(F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), F.col("own")))
-    crossed = labelled.withColumn("other", other).select(
-        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "group", "sig", "data"
-    )
-    return frames.materialize(inside.unionByName(_verified(crossed, s)))
+    places = frames.materialize(large.select("cluster", "blocks", "own", "node").distinct())
+    data = large.select("node", "sig", "data")
+
+    def linked(parts: DataFrame) -> DataFrame:
+        return _verified(parts.join(data, "node"), s)
+
+    return _across(places, inside, linked)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
