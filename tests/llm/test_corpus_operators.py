@@ -182,6 +182,20 @@ def test_pieces_hold_all_ids(odd_docs, no_docs):
     assert packing.pack_documents(no_docs, path).count() == 0
 
 
+def test_ids_are_those_of_the_tokenizer(shared):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    plain = Tokenizer.from_file(path)
+    texts = ["<|endoftext|> it's here", "a<|endoftext|><|endoftext|>", "<|endoftext|", " " * 1_500_000 + "b", "a" + "\n" * 1_500_000, "a \u3000\u0085" * 50, "x" * 1_000_000, ""]
+    docs = shared.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {}
+    for r in sorted(packing.pieces(docs, path).collect(), key=lambda r: (r.doc_id, r.piece)):
+        got[r.doc_id] = got.get(r.doc_id, b"") + r.ids
+    for k, t in enumerate(texts):
+        assert got[k] == np.array([*plain.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes(), k
+
+
 def test_bin_completion_reaches_the_optimum():
     def fewest(items, capacity):
         best = [len(items)]

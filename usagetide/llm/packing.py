@@ -12,6 +12,7 @@ piece finds its sequence and place from its rank among the pieces of its length.
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -26,6 +27,8 @@ END_ID = 0
 #: How byte-level BPE of this family cuts a text before merging (a fixed value of the vocabulary).
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CELL_ROWS = 200_000
+#: tiktoken's pattern search overflows its stack on white space of about a million characters.
+LONG_SPACE = 100_000
 Plan = list[tuple[int, tuple[int, ...]]]
 
 
@@ -40,14 +43,20 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of a byte-level BPE vocabulary, without special tokens: their strings are ordinary text."""
+    """Ids that ``tokenizers`` gives with ``add_special_tokens=False``: none are added, but strings of added tokens are those tokens.
+
+    ``tiktoken`` encodes the ordinary texts, which it does faster; the tokenizer itself does those with an added token or very
+    long white space.
+    """
 
     def __init__(self, path: str, split: str = SPLIT) -> None:
         import tiktoken
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
         special = {t["content"] for t in data.get("added_tokens", [])}
+        self._added, self._full = sorted(special), Tokenizer.from_file(path)
         byte = _byte_alphabet()
         # Ids below the specials follow the order of merges, which is what ranks are.
         ranks = {bytes(byte[c] for c in token): i for token, i in data["model"]["vocab"].items() if token not in special}
@@ -55,7 +64,12 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        return np.array(self._bpe.encode_ordinary(text), dtype="<u4").tobytes()
+        spaced = len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in re.finditer(r"\s+", text))
+        if spaced or any(a in text for a in self._added):
+            ids = self._full.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self._bpe.encode_ordinary(text)
+        return np.array(ids, dtype="<u4").tobytes()
 
 
 def pieces(docs: DataFrame, tokenizer: str, keep: Sequence[str] = ("doc_id",), text: str = "text", capacity: int = CAPACITY) -> DataFrame:
