@@ -168,7 +168,6 @@ def test_pieces_hold_all_ids(odd_docs, no_docs):
 
     path = queries.tokenizer_path()
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     want = Counter()
     for i, t in rows_of(odd_docs):
         ids = [*plain.encode(t or "", add_special_tokens=False).ids, 0]
