@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import classlm, decontaminate, language, neardup, packing, quality, ring, rules, text as T, urlfilter, warc
-from .frames import table
+from . import (
+    classlm, decontaminate, fim, language, neardup, packing, quality, repair, ring, rules, simhash, text as T, urlfilter, warc,
+)
+from .frames import table, written
 
 URL_RULES = (
     urlfilter.site_rule("org/", "allow"),
@@ -103,6 +105,24 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    talks = table(spark, folder, "conversations")
+    return repair.report(talks, repair.damage(talks)).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
+
+
+def op12_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    stored = written(fim.store(table(spark, folder, "documents")), "frames")
+    return fim.transform(stored).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
@@ -114,6 +134,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_score": op8_quality_score,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_multi_index_hashing": op12_multi_index_hashing,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -238,3 +261,99 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN spots USING (rid) LEFT JOIN items USING (rid)
 """
+
+SQL["op13_fill_in_middle"] = r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents
+), u AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS w,
+         ('0x' || substr(x, 1, 8))::BIGINT AS h1, ('0x' || substr(x, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(x, 17, 8))::BIGINT AS h3, ('0x' || substr(x, 25, 8))::BIGINT AS h4
+  FROM h
+), f AS (
+  SELECT doc_id, text, w, len(w)::BIGINT AS n,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b
+  FROM u
+), c AS (
+  SELECT doc_id, text, n, form, array_to_string(w[1:a], '') AS p, array_to_string(w[a + 1:b], '') AS m, array_to_string(w[b + 1:n], '') AS s
+  FROM f
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM c
+"""
+
+# CRC-32 bit by bit: a character's code enters, then eight shifts with the reversed polynomial.
+SQL["op11_conversation_repair"] = r"""
+WITH RECURSIVE base AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations
+), picked AS (
+  SELECT *, xor(list_reduce(flatten(list_transform(string_split(k, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+      lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)), 4294967295::BIGINT), 4294967295) % 20 AS pick
+  FROM base
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN pick = 4 THEN 'user' ELSE role END AS role,
+         CASE pick WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN pick = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM picked WHERE pick <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS said
+  FROM damaged
+), faults AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN said > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id
+), step(p, q, r) AS (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (2, 3, 'a'), (3, 2, 'u')),
+closure(p, q, a) AS (
+  VALUES (0, 0, ''), (1, 1, ''), (2, 2, ''), (3, 3, ''), (0, 2, 'I'), (0, 3, 'II'), (1, 2, 'I'), (1, 3, 'II'), (2, 3, 'I'), (3, 2, 'I')
+), edit AS (
+  SELECT p, q, r, kind, cost FROM step, (VALUES ('K', 0), ('R', 2)) AS k(kind, cost) WHERE kind = 'K' OR r <> 's'
+  UNION ALL SELECT p, p, NULL, 'D', 3 FROM (VALUES (0), (1), (2), (3)) AS s(p)
+), best AS (
+  SELECT conv_id, 0::BIGINT AS i, q AS state, lpad((2 * len(a))::VARCHAR, 9, '0') || a AS plan FROM counts, closure WHERE p = 0
+  UNION ALL
+  SELECT b.conv_id, f.i, c.q AS state,
+         min(lpad((left(b.plan, 9)::BIGINT + e.cost + 2 * len(c.a) + CASE WHEN f.fault = 'truncated' AND kind <> 'D' THEN 1 ELSE 0 END)::VARCHAR, 9, '0')
+             || substr(b.plan, 10) || kind || c.a) AS plan
+  FROM best b JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1
+       JOIN edit e ON e.p = b.state AND (kind <> 'K' OR e.r = f.initial) AND (kind = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+       JOIN closure c ON c.p = e.q
+  GROUP BY b.conv_id, f.i, c.q
+), chosen AS (
+  SELECT b.conv_id, left(min(plan), 9)::BIGINT AS cost, substr(min(plan), 10) AS audit
+  FROM best b JOIN counts n ON n.conv_id IS NOT DISTINCT FROM b.conv_id AND b.i = n.n WHERE state IN (0, 3) GROUP BY b.conv_id
+), letters AS (
+  SELECT conv_id, j, e, count(*) FILTER (e <> 'I') OVER w AS i, count(*) FILTER (e <> 'D') OVER w AS o
+  FROM (SELECT conv_id, j, substr(audit, j, 1) AS e FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS j FROM chosen))
+  WINDOW w AS (PARTITION BY conv_id ORDER BY j)
+), made AS (
+  SELECT l.conv_id, j, e, o, f.role, CASE WHEN e = 'I' THEN '' ELSE f.text END AS text,
+         max(CASE WHEN o = 1 AND e = 'K' AND f.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.conv_id) AS lead
+  FROM letters l LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i AND e <> 'I' WHERE e <> 'D'
+), texts AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (o - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS whole
+  FROM made GROUP BY conv_id
+)
+SELECT t.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) t
+     LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM t.conv_id
+     LEFT JOIN chosen h ON h.conv_id IS NOT DISTINCT FROM t.conv_id
+     LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM t.conv_id
+"""
