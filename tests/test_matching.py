@@ -87,3 +87,44 @@ def test_no_control_in_reach(spark):
 def test_default_caliper_is_sample_deviation(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 1.0)], "company_id long, propensity_score double")
     assert score_caliper(df) == (pytest.approx(0.05 * 0.5**0.5), 2)
+
+
+def runs_of(seed, runs, size, gap=0.01):
+    """Units in separated runs: steps inside a run stay below the gap, runs lie further apart."""
+    rng = random.Random(seed)
+    ids, units = rng.sample(range(10 * runs * size), runs * size), []
+    for r in range(runs):
+        for k in range(size):
+            units.append((ids[r * size + k], r + rng.randrange(size) * gap / 8, rng.random() < 0.4))
+    return units
+
+
+def test_separated_runs_need_no_turns(spark, monkeypatch):
+    monkeypatch.setattr(matching, "_match_in_turns", lambda *a: pytest.fail("a run takes turns"))
+    groups = []
+    by_group = matching._match_runs
+    monkeypatch.setattr(matching, "_match_runs", lambda *a: groups.append(a[0]) or by_group(*a))
+    units = runs_of(3, 12, 25)
+    for block_rows in (25, 60, 150):
+        assert run(spark, units, 0.05, block_rows) == sequential(units, 0.05)
+        n = groups[-1].selectExpr(f"floor(run / {block_rows})").distinct().count()
+        assert n >= 300 // block_rows
+
+
+def test_short_and_long_runs_together(spark, monkeypatch):
+    turns = []
+    in_turns = matching._match_in_turns
+    monkeypatch.setattr(matching, "_match_in_turns", lambda *a: turns.append(a[0].count()) or in_turns(*a))
+    rng = random.Random(6)
+    units = runs_of(5, 6, 15) + [(5000 + i, 20 + rng.random(), rng.random() < 0.5) for i in range(120)]
+    assert run(spark, units, 0.05, 40) == sequential(units, 0.05)
+    assert turns and turns[0] <= 120
+
+
+def test_runs_are_cut_at_gaps_above_the_caliper(spark):
+    scores = [0.0, 0.1, 0.2, 0.5, 0.55, 0.9, 0.9, 1.5]
+    units = spark.createDataFrame([(i, s, i % 2 == 0) for i, s in enumerate(scores)], "id long, ps double, is_treated boolean")
+    for blocks in (1, 3, 8):
+        cut = matching._cut_blocks(units, blocks)
+        got = matching.independent_runs(cut, matching._blocks(cut), 0.1).orderBy("id").collect()
+        assert [r["run"] for r in got] == [0, 0, 0, 3, 3, 5, 5, 7]

@@ -4,12 +4,19 @@ Treated units choose in ascending (score, id) order; each takes the nearest
 control that is still free, the smallest id among equally near ones. The choice
 of a unit depends only on the units before it, so the result is fixed.
 
-The score axis is cut into blocks of bounded row count, and the treated units
-of a block choose in one turn. Each round lets every turn choose at the same
-time, given what earlier turns chose in the round before. The first turn is
-final after round one, and by induction turn i after round i at the latest;
-when no choice changes, all are final. Only turns that can see a changed
-control choose again.
+Where two neighbouring scores lie further apart than the caliper, no pair and no
+influence crosses. Such gaps cut the score axis into independent runs. They are
+found by neighbours inside ranges of rows plus one edge per range; runs are
+packed, in order, into groups of about ``BLOCK_ROWS`` rows, and all groups are
+matched in one parallel pass.
+
+A run longer than that is matched in turns. Its rows lie in blocks of bounded
+count, and the treated units of a block choose in one turn. Each round lets
+every turn choose at the same time, given what earlier turns chose in the round
+before. The first turn is final after round one, and by induction turn i after
+round i at the latest; when no choice changes, all are final. Only turns that
+can see a changed control choose again, and the claims of turns before the first
+of those are final: they are set aside and not written again.
 
 No candidate pairs are formed. A turn receives the controls of its own block
 plus, on each side, the nearest blocks that hold as many open controls as it
@@ -31,13 +38,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.running import global_ranks
 from ..session import materialize
 from .causal import CALIPER_SHARE
 
-BLOCK_ROWS = 1_000_000
+BLOCK_ROWS = 50_000
 
 
 @dataclass
@@ -48,6 +55,7 @@ class Block:
     controls: int
     first_row: float
     last_row: float
+    rows: int = 0
 
 
 @dataclass
@@ -187,7 +195,7 @@ def _take_turns(units: DataFrame, block_rows: int) -> DataFrame:
 
 
 def _blocks(units: DataFrame) -> list[Block]:
-    rows = units.groupBy("block").agg(F.count_if(~F.col("is_treated")), F.min("ps"), F.max("ps"))
+    rows = units.groupBy("block").agg(F.count_if(~F.col("is_treated")), F.min("ps"), F.max("ps"), F.count(F.lit(1)))
     return sorted((Block(*row) for row in rows.collect()), key=lambda b: b.number)
 
 
@@ -303,35 +311,66 @@ def _choose_hot(turn: Turn, treated: DataFrame, offered: DataFrame, caliper: flo
     )
 
 
-def caliper_match(
-    scored: DataFrame,
-    score: str = "propensity_score",
-    caliper: float | None = None,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Matched pairs with both scores and their difference.
+def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """One row per block, to be broadcast."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
 
-    ``caliper`` defaults to 0.05 sample standard deviations of the score.
+
+def independent_runs(units: DataFrame, blocks: list[Block], caliper: float) -> DataFrame:
+    """``units`` with ``run``: the place, in score order, of the first row of their run.
+
+    Rows of a run have no neighbours further apart than the caliper. Places and gaps come from each
+    block alone plus three numbers per block: rows before it, the last score before it, and the last run that began before it.
     """
-    spark = scored.sparkSession
-    # Stored before use: the deviation, the count and the range cut all read it.
-    narrow = materialize(
-        scored.where(F.col(score).isNotNull()).select(
-            F.col("company_id").alias("id"),
-            F.col(score).cast("double").alias("ps"),
-            F.col("is_treatment").alias("is_treated"),
-        )
+    spark = units.sparkSession
+    edges, rows, last = [], 0, None
+    for block in blocks:
+        edges.append((block.number, rows, last))
+        rows, last = rows + block.rows, block.last_row
+    inside = Window.partitionBy("block").orderBy("ps", "id")
+    before = F.coalesce(F.lag("ps").over(inside), F.col("last_score"))
+    begins = before.isNull() | (F.col("ps") - before > F.lit(caliper))
+    place = F.row_number().over(inside) - 1 + F.col("rows_before")
+    marked = (
+        units.join(_small(spark, edges, "block int, rows_before long, last_score double"), "block")
+        .withColumn("begin", F.when(begins, place))
+        .withColumn("run", F.max("begin").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        .select("id", "ps", "is_treated", "block", "run")
     )
-    default_caliper, n_units = score_caliper(narrow, "ps")
-    caliper = default_caliper if caliper is None else caliper
-    units = _cut_blocks(narrow, max(1, -(-n_units // block_rows)))
+    marked = materialize(marked)
+    newest = dict(marked.groupBy("block").agg(F.max("run")).collect())
+    carried, run = [], None
+    for block in blocks:
+        carried.append((block.number, run))
+        run = run if newest[block.number] is None else newest[block.number]
+    joined = marked.join(_small(spark, carried, "block int, run_before long"), "block")
+    return joined.withColumn("run", F.coalesce("run", "run_before")).drop("run_before")
+
+
+def _claim_schema(units: DataFrame) -> str:
+    kind = units.schema["id"].dataType.simpleString()
+    return f"control_id {kind}, control_ps double, control_block int, treated_id {kind}, treated_ps double, holder int"
+
+
+def _match_runs(runs: DataFrame, caliper: float, block_rows: int) -> DataFrame:
+    """Claims inside runs, packed into groups by the place of their first row. A group ends with the run that fills it."""
+
+    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+        return _choose_block(rows, caliper)
+
+    packed = runs.withColumn("target", F.floor(F.col("run") / block_rows).cast("int"))
+    return packed.groupBy("target").applyInPandas(choose, _claim_schema(runs))
+
+
+def _match_in_turns(units: DataFrame, caliper: float, block_rows: int) -> DataFrame:
+    """Claims among units whose runs are longer than a block."""
+    spark = units.sparkSession
     controls, treated = units.where("not is_treated"), materialize(_take_turns(units, block_rows))
     blocks, turns = _blocks(units), _turns(treated)
     by_number = {turn.number: turn for turn in turns}
-    id_type = units.schema["id"].dataType.simpleString()
-    claim_schema = (
-        f"control_id {id_type}, control_ps double, control_block int, treated_id {id_type}, treated_ps double, holder int"
-    )
+    claim_schema = _claim_schema(units)
+    # Claims of turns that nothing can change any more, and those of the others.
+    final: DataFrame = materialize(spark.createDataFrame([], claim_schema))
     claims: DataFrame | None = None
     active: set[int] | None = None
 
@@ -339,7 +378,8 @@ def caliper_match(
         return _choose_block(rows, caliper)
 
     for _ in turns:
-        reach = _reach(turns, blocks, _open_counts(claims, blocks), caliper)
+        known = final if claims is None else final.unionByName(claims)
+        reach = _reach(turns, blocks, _open_counts(known, blocks), caliper)
         targets = sorted(reach) if active is None else sorted(active)
         if not targets:
             break
@@ -351,7 +391,7 @@ def caliper_match(
         if claims is None:
             read = read.withColumn("holder", F.lit(None).cast("int"))
         else:
-            read = read.join(_owners(claims).select(F.col("control_id").alias("id"), "holder"), "id", "left")
+            read = read.join(_owners(known).select(F.col("control_id").alias("id"), "holder"), "id", "left")
         seen = (
             read.join(F.broadcast(route), "block")
             .where(F.col("holder").isNull() | (F.col("holder") >= F.col("target")))
@@ -379,9 +419,48 @@ def caliper_match(
             for number, view in reach.items()
             if any(holder < number and view.first <= where <= view.last for where, holder in changes)
         }
+        if active:
+            # An active turn concerns only later ones.
+            settled = F.col("holder") < min(active)
+            final = final.unionByName(claims.where(settled))
+            claims = materialize(claims.where(~settled))
+    return final if claims is None else final.unionByName(claims)
 
-    if claims is None:
-        claims = spark.createDataFrame([], claim_schema)
+
+def caliper_match(
+    scored: DataFrame,
+    score: str = "propensity_score",
+    caliper: float | None = None,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Matched pairs with both scores and their difference.
+
+    ``caliper`` defaults to 0.05 sample standard deviations of the score.
+    """
+    # Stored before use: the deviation, the count and the range cut all read it.
+    narrow = materialize(
+        scored.where(F.col(score).isNotNull()).select(
+            F.col("company_id").alias("id"),
+            F.col(score).cast("double").alias("ps"),
+            F.col("is_treatment").alias("is_treated"),
+        )
+    )
+    default_caliper, n_units = score_caliper(narrow, "ps")
+    caliper = default_caliper if caliper is None else caliper
+    units = _cut_blocks(narrow, max(1, -(-n_units // block_rows)))
+    blocks = _blocks(units)
+    if len(blocks) <= 1:
+        claims = _match_runs(units.withColumn("run", F.lit(0)), caliper, max(1, n_units))
+    else:
+        runs = materialize(independent_runs(units, blocks, caliper))
+        # At most one such run for each block.
+        long = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows).select("run")
+        long = materialize(long)
+        short = runs.join(F.broadcast(long), "run", "left_anti")
+        claims = _match_runs(short, caliper, block_rows)
+        if not long.isEmpty():
+            linked = materialize(runs.join(F.broadcast(long), "run", "left_semi").drop("run"))
+            claims = claims.unionByName(_match_in_turns(linked, caliper, block_rows))
     return claims.select(
         F.col("treated_id").alias("treatment_company_id"),
         F.col("control_id").alias("control_company_id"),
