@@ -2,17 +2,19 @@
 
 For one leaf, the model restricted to a set of known features is a product: a
 known feature contributes 1 or 0 (the row follows the path or not), an unknown
-one the share of training rows that follow it. The Shapley value of such a
-product is a short sum over subsets of the path's features; a tree of depth 4
-has at most four of them. The trees are a few thousand numbers whatever the
-size of the data, so every task gets a copy.
+one the share of training rows that follow it. Its Shapley value needs, for
+every number k, the sum of the products over all sets of k known features. These
+are the coefficients of prod(share + inside * t) over the path's features: the
+path is built up factor by factor, and each feature's own factor is divided out
+again. That takes depth squared steps per leaf, for trees of any depth. The
+trees are a few thousand numbers whatever the size of the data, so every task
+gets a copy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
-from math import factorial
+from math import comb
 from typing import NamedTuple
 
 import numpy as np
@@ -21,6 +23,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
+from .boosting import Forest, model_inputs
 from .scoring import FEATURES, with_model_codes
 
 
@@ -83,48 +86,84 @@ def base_value(forest: list[Leaf]) -> float:
     return float(sum(leaf.value * np.prod([f.share for f in leaf.features]) for leaf in forest))
 
 
-def _subset_weights(size: int) -> list[tuple[tuple[int, ...], float]]:
-    """Subsets of ``size - 1`` others with their Shapley weights."""
-    others = range(size - 1)
-    return [
-        (subset, factorial(k) * factorial(size - k - 1) / factorial(size))
-        for k in range(size)
-        for subset in combinations(others, k)
-    ]
+def set_weights(size: int) -> np.ndarray:
+    """Shapley weight of a set of k others, for k = 0 .. size - 1."""
+    return np.array([1.0 / (size * comb(size - 1, k)) for k in range(size)])
+
+
+def extended(terms: np.ndarray, share: float, inside: np.ndarray) -> np.ndarray:
+    """Coefficients, per row, of a product times (share + inside * t)."""
+    out = np.zeros((len(terms), terms.shape[1] + 1))
+    out[:, :-1] = terms * share
+    out[:, 1:] += terms * inside[:, None]
+    return out
+
+
+def unwound(terms: np.ndarray, share: float, inside: np.ndarray) -> np.ndarray:
+    """Coefficients of the product without one of its factors (share + inside * t); inside is 0 or 1."""
+    out = np.empty((len(terms), terms.shape[1] - 1))
+    carried = np.zeros(len(terms))
+    for k in range(out.shape[1] - 1, -1, -1):
+        # Divided from the highest power where the row is inside, by the share alone where it is not.
+        carried = terms[:, k + 1] - share * carried
+        out[:, k] = carried
+    outside = inside == 0
+    out[outside] = terms[outside, :-1] / share
+    return out
 
 
 def attribute_batch(x: np.ndarray, forest: list[Leaf]) -> np.ndarray:
     """Attribution of every feature for every row of ``x``."""
     out = np.zeros_like(x, dtype=np.float64)
-    weights: dict[int, list[tuple[tuple[int, ...], float]]] = {}
     for leaf in forest:
-        inside = [
-            ((x[:, f.index] > f.low) & (x[:, f.index] <= f.high)).astype(np.float64) for f in leaf.features
-        ]
-        size = len(leaf.features)
-        if size not in weights:
-            weights[size] = _subset_weights(size)
-        for i, feature in enumerate(leaf.features):
-            others = [j for j in range(size) if j != i]
-            total = np.zeros(len(x))
-            for subset, weight in weights[size]:
-                term = np.full(len(x), weight)
-                for place, j in enumerate(others):
-                    term = term * (inside[j] if place in subset else leaf.features[j].share)
-                total += term
-            out[:, feature.index] += leaf.value * total * (inside[i] - feature.share)
+        path = leaf.features
+        inside = [((x[:, f.index] > f.low) & (x[:, f.index] <= f.high)).astype(np.float64) for f in path]
+        terms = np.ones((len(x), 1))
+        for f, known in zip(path, inside):
+            terms = extended(terms, f.share, known)
+        weights = set_weights(len(path)) if path else None
+        for f, known in zip(path, inside):
+            out[:, f.index] += leaf.value * (unwound(terms, f.share, known) @ weights) * (known - f.share)
+    return out
+
+
+def forest_leaves(forest: Forest) -> list[Leaf]:
+    """Every leaf that training rows reach, with the features on its path; shares are of hessian sums."""
+    out: list[Leaf] = []
+    first_leaf = forest.feature.shape[1]
+    for feature, threshold, value, cover in zip(forest.feature, forest.threshold, forest.value, forest.cover):
+
+        def walk(node: int, path: dict[int, PathFeature]) -> None:
+            if node >= first_leaf:
+                out.append(Leaf(float(value[node - first_leaf]), list(path.values())))
+                return
+            index = int(feature[node])
+            if index < 0:
+                walk(2 * node + 1, path)
+                return
+            cut = float(threshold[node])
+            for child, low, high in ((2 * node + 1, -np.inf, cut), (2 * node + 2, cut, np.inf)):
+                known = path.get(index, PathFeature(index, -np.inf, np.inf, 1.0))
+                share = known.share * float(cover[child] / cover[node])
+                walk(child, {**path, index: PathFeature(index, max(known.low, low), min(known.high, high), share)})
+
+        walk(0, {})
     return out
 
 
-def attribution(model: PipelineModel, matrix: DataFrame, key: str = "company_id") -> DataFrame:
+def attribution(model: PipelineModel | Forest, matrix: DataFrame, key: str = "company_id") -> DataFrame:
     """Per account: one attribution column per feature, the base value and the margin."""
     spark = matrix.sparkSession
-    forest = leaves(spark, model)
-    base = base_value(forest)
+    own = isinstance(model, Forest)
+    forest = forest_leaves(model) if own else leaves(spark, model)
+    base = base_value(forest) + (model.bias if own else 0.0)
     # Plain tuples: a broadcast value is unpickled without this package.
     plain = [(leaf.value, [tuple(feature) for feature in leaf.features]) for leaf in forest]
     shared = spark.sparkContext.broadcast(plain)
-    rows = with_model_codes(model, matrix).select(key, *[F.col(c).cast("double").alias(c) for c in FEATURES])
+    if own:
+        rows = matrix.select(key, *[c.alias(name) for name, c in zip(model.columns, model_inputs(model))])
+    else:
+        rows = with_model_codes(model, matrix).select(key, *[F.col(c).cast("double").alias(c) for c in FEATURES])
     key_type = rows.schema[key].dataType.simpleString()
     schema = ", ".join([f"{key} {key_type}", *[f"{c} double" for c in FEATURES], "base_value double", "margin double"])
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import equal_width_bin, bin_start, bin_width, ratio, round_to
@@ -78,23 +78,85 @@ def fit_propensity(
     ).fit(data)
 
 
-def propensity_score(features: DataFrame, penalty_c: float = 1.0) -> DataFrame:
-    """Features with covariates and ``propensity_score``, the fitted probability of treatment.
+def _newton_sums(df: DataFrame, columns: Sequence[str], beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Gradient and Hessian of the unpenalised loss at ``beta`` (intercept first), and the loss: one aggregate."""
+    x = [F.lit(1.0), *[F.col(f"`{c}`") for c in columns]]
+    margin = F.lit(float(beta[0]))
+    for b, c in zip(beta[1:], x[1:]):
+        margin = margin + F.lit(float(b)) * c
+    y = F.col("is_treatment").cast("double")
+    rows = df.select(*x[1:], margin.alias("margin"), y.alias("y")).withColumn("p", 1.0 / (1.0 + F.exp(-F.col("margin"))))
+    rows = rows.withColumn("w", F.col("p") * (1.0 - F.col("p"))).withColumn("r", F.col("p") - F.col("y"))
+    # log(1 + exp(m)) - y * m without overflow.
+    loss = F.greatest(F.col("margin"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("margin"))) - F.col("y") * F.col("margin")
+    n = len(x)
+    sums = [F.sum(F.col("r") * x[i]) for i in range(n)]
+    sums += [F.sum(F.col("w") * x[i] * x[j]) for i in range(n) for j in range(i, n)]
+    found = [0.0 if v is None else float(v) for v in rows.agg(*sums, F.sum(loss)).first()]
+    hessian = np.zeros((n, n))
+    hessian[np.triu_indices(n)] = found[n:-1]
+    return np.array(found[:n]), hessian + np.triu(hessian, 1).T, found[-1]
+
+
+def newton_propensity(
+    df: DataFrame, columns: Sequence[str], penalty_c: float = 1.0, steps: int = 50, tolerance: float = 1e-10
+) -> np.ndarray:
+    """Coefficients, intercept first, of the L2 logistic regression of treatment.
+
+    Newton's method: every step is one aggregate over the accounts that sums the weighted normal equations, whose
+    size is the number of covariates squared, and one small system on the driver. A step that does not lower the
+    penalised loss is halved. The intercept has no penalty; one class alone has none to separate and gives zeros.
+    """
+    n = len(columns) + 1
+    penalty = np.diag([0.0] + [1.0 / penalty_c] * len(columns))
+    beta, step = np.zeros(n), np.zeros(n)
+    treated, rows = df.agg(F.count_if("is_treatment"), F.count(F.lit(1))).first()
+    if treated in (0, rows):
+        return beta
+    best = np.inf
+    for _ in range(steps):
+        gradient, hessian, loss = _newton_sums(df, columns, beta + step)
+        tried = beta + step
+        loss += 0.5 * tried @ penalty @ tried
+        if loss > best * (1 + 1e-12):
+            step = step / 2
+            continue
+        beta, best = tried, loss
+        gradient = gradient + penalty @ beta
+        if np.abs(gradient).max() <= tolerance * rows:
+            break
+        step = -np.linalg.lstsq(hessian + penalty, gradient, rcond=None)[0]
+    return beta
+
+
+def propensity_gradient(df: DataFrame, columns: Sequence[str], beta: np.ndarray, penalty_c: float = 1.0) -> DataFrame:
+    """Penalised gradient per coefficient and account: all zeros exactly at the optimum of a convex loss."""
+    gradient, _, _ = _newton_sums(df, columns, beta)
+    total = gradient + np.concatenate(([0.0], beta[1:] / penalty_c))
+    rows = [(name, float(g) / max(df.count(), 1)) for name, g in zip(["intercept", *columns], total)]
+    return df.sparkSession.createDataFrame(rows, "covariate string, gradient double")
+
+
+def propensity_inputs(features: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
+    """Stored features with covariates and their standardised versions; names of both.
 
     The features are stored first: levels, moments, fit and scores all read them.
     """
     features = materialize(features)
     levels = industry_levels(features)
-    prepared = psm_covariates(features, levels)
     names = covariate_names(levels)
-    scaled = standardize(prepared, names)
-    inputs = [f"{c}_z" for c in names]
-    scaled = VectorAssembler(inputCols=inputs, outputCol="covariates").transform(scaled)
-    model = fit_propensity(scaled.drop("covariates"), inputs, features.count(), penalty_c)
-    scored = model.transform(scaled)
-    return scored.withColumn("propensity_score", vector_to_array("probability")[1]).drop(
-        "covariates", "rawPrediction", "probability", "prediction", *inputs
-    )
+    scaled = standardize(psm_covariates(features, levels), names)
+    return materialize(scaled), names, [f"{c}_z" for c in names]
+
+
+def propensity_score(features: DataFrame, penalty_c: float = 1.0) -> DataFrame:
+    """Features with covariates and ``propensity_score``, the fitted probability of treatment."""
+    scaled, _, inputs = propensity_inputs(features)
+    beta = newton_propensity(scaled, inputs, penalty_c)
+    margin = F.lit(float(beta[0]))
+    for b, c in zip(beta[1:], inputs):
+        margin = margin + F.lit(float(b)) * F.col(f"`{c}`")
+    return scaled.withColumn("propensity_score", 1.0 / (1.0 + F.exp(-margin))).drop(*inputs)
 
 
 # ------------------------------------------------------- score summaries

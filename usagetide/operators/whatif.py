@@ -65,7 +65,12 @@ def scenario_cross(matrix: DataFrame, scenarios: Sequence[Scenario] = SCENARIOS)
 
 
 def rescored(matrix: DataFrame, scorer: Scorer, scenarios: Sequence[Scenario]) -> DataFrame:
-    """Accounts per scenario with ``baseline_risk`` and ``new_risk``."""
+    """Accounts per scenario with ``baseline_risk`` and ``new_risk``.
+
+    A scorer that knows what a scenario changes (``rescored``) is asked for the new risks itself.
+    """
+    if hasattr(scorer, "rescored"):
+        return scorer.rescored(matrix, scenarios)
     base = scorer(matrix).withColumnRenamed("probability", "baseline_risk")
     return scorer(scenario_cross(base, scenarios)).withColumnRenamed("probability", "new_risk")
 
