@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from usagetide.operators import causal as C
 from usagetide.operators import metrics as Q
@@ -125,3 +126,25 @@ def test_report_without_positives(spark):
     got = {r["class"]: r for r in Q.classification_report(df, "s", "y").collect()}
     assert got["Churn"]["recall"] == 0.0 and got["Churn"]["support"] == 0
     assert got["accuracy"]["f1"] == 0.5
+
+
+def test_newton_equals_the_gradient_method_at_the_optimum(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(300):
+        x = [rng.gauss(0, 1), rng.random(), float(i % 3 == 0)]
+        rows.append((i, rng.random() < 1 / (1 + math.exp(-x[0] + x[1])), *x))
+    df = spark.createDataFrame(rows, "company_id long, is_treatment boolean, a double, `b c` double, d double")
+    names = ["a", "b c", "d"]
+    for penalty_c in (0.05, 1.0, 50.0):
+        beta = C.newton_propensity(df, names, penalty_c)
+        model = C.fit_propensity(df.withColumnRenamed("b c", "b"), ["a", "b", "d"], 300, penalty_c)
+        assert list(beta) == pytest.approx([model.intercept, *model.coefficients], abs=1e-5)
+        worst = max(abs(r.gradient) for r in C.propensity_gradient(df, names, beta, penalty_c).collect())
+        assert worst < 1e-9
+    one_class = df.withColumn("is_treatment", F.lit(True))
+    assert list(C.newton_propensity(one_class, names)) == [0.0] * 4
+    # Separated classes: finite coefficients all the same.
+    apart = df.withColumn("is_treatment", F.col("a") > 0)
+    beta = C.newton_propensity(apart, names)
+    assert max(abs(r.gradient) for r in C.propensity_gradient(apart, names, beta).collect()) < 1e-8

@@ -435,9 +435,8 @@ def holdout(features: DataFrame, forest: Forest) -> DataFrame:
     return score(forest, test).select("company_id", F.col("label").cast("int").alias("label"), "probability")
 
 
-def cross_validate(features: DataFrame, folds: int = 5, settings: Settings = Settings()) -> DataFrame:
+def fold_metrics(scores: DataFrame, folds: int = 5) -> DataFrame:
     """Mean and population deviation of the folds' ROC-AUC, and the AUC of all out-of-fold scores together."""
-    scores = materialize(out_of_fold(features, folds, settings))
     parts = None
     for m in range(folds):
         part = Q.roc_auc(scores.where(F.col("fold") == m), "probability", "label")
@@ -448,6 +447,10 @@ def cross_validate(features: DataFrame, folds: int = 5, settings: Settings = Set
     ).withColumn("out_of_fold_auc", whole)
 
 
+def cross_validate(features: DataFrame, folds: int = 5, settings: Settings = Settings()) -> DataFrame:
+    return fold_metrics(materialize(out_of_fold(features, folds, settings)), folds)
+
+
 # ------------------------------------------------------------ scenarios
 
 

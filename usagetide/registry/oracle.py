@@ -319,13 +319,13 @@ RELATIONS: dict[str, str] = {
 }
 
 
-def survival_relations(kind: str) -> dict[str, str]:
+def survival_relations(kind: str, source: str = "churn") -> dict[str, str]:
     days, seen = {
         "hard": ("days_to_hard_churn", "hard_churn_observed"),
         "soft": ("days_to_soft_decay", "soft_decay_observed"),
-    }[kind]
+    }[kind.removeprefix("matched_")]
     return {
-        f"times_{kind}": f"SELECT is_treatment AS grp, {days} AS t, {seen} AS seen FROM churn",
+        f"times_{kind}": f"SELECT is_treatment AS grp, {days} AS t, {seen} AS seen FROM {source}",
         f"points_{kind}": f"SELECT grp, t FROM times_{kind} UNION SELECT grp, 0 FROM times_{kind}",
         # Counted straight from the accounts for every time point.
         f"risk_{kind}": f"""
@@ -354,21 +354,32 @@ def survival_relations(kind: str) -> dict[str, str]:
 
 RELATIONS.update(survival_relations("hard"))
 RELATIONS.update(survival_relations("soft"))
+RELATIONS.update(survival_relations("matched_hard", "matched"))
+RELATIONS.update(survival_relations("matched_soft", "matched"))
+RELATIONS["loudest"] = "SELECT company_id FROM api_errors GROUP BY company_id ORDER BY COUNT(*) DESC, company_id LIMIT 1"
+# Three months of usage: a third of the events one month later, a third two.
+LATER = {
+    "ev": RELATIONS["ev"].replace("ts, CAST(ts AS DATE) AS dt", "later AS ts, CAST(later AS DATE) AS dt").replace(
+        "FROM events", "FROM (SELECT *, ts + to_days(CAST(event_id % 3 * 30 AS INTEGER)) AS later FROM events)"
+    ),
+    "churn_wide": RELATIONS["churn_wide"].replace(f", {HORIZON}) AS INTEGER)", ", 90) AS INTEGER)"),
+}
 RECURSIVE = {"greedy"}
 WORDS = re.compile(r"[A-Za-z_][A-Za-z_0-9]*")
 
 
-def with_relations(body: str) -> str:
-    """Put the relations that ``body`` uses, directly or not, in front of it."""
+def with_relations(body: str, instead: dict[str, str] | None = None) -> str:
+    """Put the relations that ``body`` uses, directly or not, in front of it; those in ``instead`` differ."""
+    relations = RELATIONS | (instead or {})
     wanted: set[str] = set()
     pending = [body]
     while pending:
-        for word in set(WORDS.findall(pending.pop())) & set(RELATIONS) - wanted:
+        for word in set(WORDS.findall(pending.pop())) & set(relations) - wanted:
             wanted.add(word)
-            pending.append(RELATIONS[word])
+            pending.append(relations[word])
     if not wanted:
         return body
-    ctes = ",\n".join(f"{name} AS ({RELATIONS[name]})" for name in RELATIONS if name in wanted)
+    ctes = ",\n".join(f"{name} AS ({relations[name]})" for name in relations if name in wanted)
     return f"WITH {'RECURSIVE ' if wanted & RECURSIVE else ''}{ctes}\n{body}"
 
 
@@ -800,4 +811,28 @@ BODIES: dict[str, str] = {
     **{name: f"SELECT * FROM {relation}" for name, relation in MODEL_NAMES.items()},
 }
 
+ONE = " WHERE company_id IN (SELECT company_id FROM loudest)"
+ACCOUNT_BODIES = ("usage", "errors", "card", "errors_by_code", "429_daily", "ttft_vs_portfolio", "rolling")
+BODIES |= {f"account_{name}_one": f"SELECT * FROM ({BODIES[f'account_{name}']})" + ONE for name in ACCOUNT_BODIES}
+BODIES |= survival_queries("matched_hard") | survival_queries("matched_soft")
+BODIES |= {
+    "alert_feed_filtered": BODIES["alert_feed"] + " AND contract_tier = 'Enterprise' AND industry IN ('BUILDING', 'MACHINERY')",
+    "stratified_split_hard": BODIES["stratified_split"].replace("soft_decay_label", "hard_churn_label"),
+    "class_weight_hard": BODIES["class_weight"].replace("soft_decay_label", "hard_churn_label"),
+    # What a fit has to satisfy: residuals of zero, and counts that follow from the labels.
+    "train_churn_model_certificate": "SELECT 100 AS trees, CAST(0 AS DOUBLE) AS worst_residual",
+    "save_load_model_certificate": "SELECT company_id, CAST(0 AS DOUBLE) AS difference FROM companies",
+    "attribution_certificate": "SELECT company_id, CAST(0 AS DOUBLE) AS residual FROM companies",
+    "top_features_certificate": "SELECT CAST(10 AS BIGINT) AS listed, CAST(0 AS BIGINT) AS missed",
+    "cross_validate_certificate": """
+        SELECT CAST(f AS INTEGER) AS fold, label, (n - f + 4) // 5 AS n, (n - f + 4) // 5 AS n_scored
+        FROM (SELECT CAST(hard_churn_label AS INTEGER) AS label, COUNT(*) AS n FROM churn GROUP BY 1), range(0, 5) r(f)
+        WHERE (n - f + 4) // 5 > 0""",
+    "propensity_score_certificate": "SELECT covariate, CAST(0 AS DOUBLE) AS gradient FROM (SELECT unnest("
+    "['intercept', 'is_enterprise', 'log_avg_tokens_onboarding', 'growth_rate']) AS covariate"
+    " UNION ALL SELECT DISTINCT 'ind_' || industry FROM companies)",
+}
+LATER_BODIES = {f"{name}_90": BODIES[name] for name in ("fct_cohort_churn", "velocity_trends", "cohort_heatmap", "heatmap_relative", "heatmap_finding")}
+
 SQL: dict[str, str] = {name: with_relations(body) for name, body in BODIES.items()}
+SQL |= {name: with_relations(body, LATER) for name, body in LATER_BODIES.items()}

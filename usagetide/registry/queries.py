@@ -6,13 +6,13 @@ import zlib
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import business as B
 from ..functions.numeric import round_to
 from ..operators import attribution as A
 from ..operators import behavior as H
+from ..operators import boosting as G
 from ..operators import causal as C
 from ..operators import matching as X
 from ..operators import metrics as Q
@@ -28,8 +28,11 @@ from ..sources import readers, sinks, star
 
 # The test tables cover 30 days.
 HORIZON = 30
+# For results past day 30, events are spread over three times as many days.
+LONG_HORIZON = 90
 _inputs: dict[tuple[str, str], Inputs] = {}
-_models: dict[tuple[str, str], PipelineModel] = {}
+# What is fitted once for each application and folder.
+_fitted: dict[tuple[str, str, str], object] = {}
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -120,12 +123,59 @@ class Inputs:
         levels = C.industry_levels(self.companies)
         return C.psm_covariates(self.features, levels), C.covariate_names(levels)
 
+    def once(self, name: str, build: Callable[[], object]):
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _fitted:
+            _fitted[key] = build()
+        return _fitted[key]
+
+    @property
+    def model(self) -> G.Forest:
+        return self.once("model", lambda: G.train(self.features))
+
+    @property
+    def holdout(self) -> DataFrame:
+        """Scores of the model on the side of the split that it has not seen."""
+        return self.once("holdout", lambda: materialize(G.holdout(self.features, self.model)))
+
     @property
-    def model(self) -> PipelineModel:
-        key = (self.spark.sparkContext.applicationId, self.folder)
-        if key not in _models:
-            _models[key] = S.train_churn_model(self.features)
-        return _models[key]
+    def out_of_fold(self) -> DataFrame:
+        return self.once("out_of_fold", lambda: materialize(G.out_of_fold(self.features)))
+
+    @property
+    def model_scored(self) -> DataFrame:
+        return S.scored_accounts(G.score(self.model, self.features), sort=False)
+
+    @property
+    def fitted_propensity(self) -> DataFrame:
+        return self.once("propensity", lambda: materialize(C.propensity_score(self.features)))
+
+    @property
+    def fitted_pairs(self) -> DataFrame:
+        return self.once("pairs", lambda: materialize(X.caliper_match(self.fitted_propensity)))
+
+    @cached_property
+    def long(self) -> Inputs:
+        return LongInputs(self.spark, self.folder)
+
+    @property
+    def loudest(self) -> int:
+        """The account with most errors, the smallest id among equals."""
+        counts = self.errors.groupBy("company_id").agg(F.count(F.lit(1)).alias("n"))
+        return counts.orderBy(F.desc("n"), "company_id").first()["company_id"]
+
+
+class LongInputs(Inputs):
+    """The same tables with every third event a month later, and the next third two."""
+
+    @cached_property
+    def events(self) -> DataFrame:
+        later = F.make_dt_interval(((F.col("event_id") % 3) * 30).cast("int"))
+        return self.table("events").withColumn("ts", F.col("ts") + later)
+
+    @cached_property
+    def pipe(self) -> Pipeline:
+        return Pipeline(self.companies, self.usage, self.errors, horizon=LONG_HORIZON)
 
 
 # --------------------------------------------------------- sources and sinks
@@ -191,23 +241,75 @@ def cache_model(i: Inputs) -> DataFrame:
 
 
 def save_load_model(i: Inputs) -> DataFrame:
-    path = S.save_model(i.model, scratch_path(i.spark, "churn_model"))
-    return S.score(S.load_model(path), S.feature_matrix(i.features)).select(
-        "company_id", round_to("probability", 6).alias("probability")
-    )
+    path = G.save_forest(i.spark, i.model, scratch_path(i.spark, "churn_model"))
+    return G.score(G.load_forest(i.spark, path), i.features).select("company_id", round_to("probability", 6).alias("probability"))
 
 
 # ------------------------------------------------------------- small views
 
 
 def trained_scores(i: Inputs) -> DataFrame:
-    return S.score(i.model, S.feature_matrix(i.features)).select(
-        "company_id", "label", round_to("probability", 6).alias("probability")
+    return G.score(i.model, i.features).select(
+        "company_id", F.col("hard_churn_label").cast("int").alias("label"), round_to("probability", 6).alias("probability")
     )
 
 
 def attributions(i: Inputs) -> DataFrame:
-    return A.attribution(i.model, S.feature_matrix(i.features))
+    return A.attribution(i.model, i.features)
+
+
+# Certificates: what has to be zero, or a known count, for a fit whose numbers SQL cannot compute.
+
+
+def zero(column: Column, digits: int = 6) -> Column:
+    return F.abs(round_to(column, digits))
+
+
+def train_certificate(i: Inputs) -> DataFrame:
+    leaves = G.split_certificate(i.features, i.model)
+    return leaves.agg(zero(F.max(F.abs("residual"))).alias("worst_residual")).select(
+        F.lit(len(i.model.value)).alias("trees"), "worst_residual"
+    )
+
+
+def save_load_certificate(i: Inputs) -> DataFrame:
+    path = G.save_forest(i.spark, i.model, scratch_path(i.spark, "churn_model"))
+    both = G.score(G.load_forest(i.spark, path), G.score(i.model, i.features), "again")
+    return both.select("company_id", zero(F.col("again") - F.col("probability")).alias("difference"))
+
+
+def attribution_certificate(i: Inputs) -> DataFrame:
+    margin = G.score(i.model, i.features).select("company_id", F.log(F.col("probability") / (1.0 - F.col("probability"))).alias("log_odds"))
+    parts = F.col("base_value")
+    for c in S.FEATURES:
+        parts = parts + F.col(c)
+    return attributions(i).join(margin, "company_id").select("company_id", zero(parts - F.col("log_odds")).alias("residual"))
+
+
+def top_features_certificate(i: Inputs) -> DataFrame:
+    """Places of the listed features, and whether any other one has a larger mean."""
+    means = materialize(A.feature_importance(attributions(i)))
+    top = A.top_features(means)
+    least = top.agg(F.min("mean_abs_attribution")).scalar()
+    missed = means.join(top, "feature", "left_anti").where(F.col("mean_abs_attribution") > least)
+    return top.agg(F.count(F.lit(1)).alias("listed")).withColumn("missed", missed.agg(F.count(F.lit(1))).scalar())
+
+
+def cross_validate_certificate(i: Inputs) -> DataFrame:
+    return i.out_of_fold.groupBy("fold", F.col("label").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if((F.col("probability") > 0) & (F.col("probability") < 1)).alias("n_scored")
+    )
+
+
+def propensity_certificate(i: Inputs) -> DataFrame:
+    scaled, names, inputs = C.propensity_inputs(i.features)
+    found = C.propensity_gradient(scaled, inputs, C.newton_propensity(scaled, inputs))
+    return found.select(F.regexp_replace("covariate", "_z$", "").alias("covariate"), zero(F.col("gradient")).alias("gradient"))
+
+
+def fitted_balance(i: Inputs) -> DataFrame:
+    rows, names = i.covariates
+    return C.balance_table(rows, i.fitted_pairs, names)
 
 
 def smd(i: Inputs) -> DataFrame:
@@ -231,16 +333,21 @@ def balance_table(i: Inputs) -> DataFrame:
     return C.balance_table(rows, i.pairs, names)
 
 
-def stratified_split(i: Inputs) -> DataFrame:
-    split = S.stratified_split(i.churn, label="soft_decay_label")
-    return split.groupBy("soft_decay_label").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("n_test")
-    )
+def stratified_split(label: str) -> Callable[[Inputs], DataFrame]:
+    def run(i: Inputs) -> DataFrame:
+        return S.stratified_split(i.churn, label=label).groupBy(label).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("n_test")
+        )
 
+    return run
 
-def class_weight(i: Inputs) -> DataFrame:
-    split = S.stratified_split(i.churn, label="soft_decay_label")
-    return rounded(S.class_weight(split.where(~F.col("is_test")), "soft_decay_label"), "weight")
+
+def class_weight(label: str) -> Callable[[Inputs], DataFrame]:
+    def run(i: Inputs) -> DataFrame:
+        split = S.stratified_split(i.churn, label=label)
+        return rounded(S.class_weight(split.where(~F.col("is_test")), label), "weight")
+
+    return run
 
 
 def risk_overlay(i: Inputs) -> DataFrame:
@@ -271,9 +378,24 @@ def group_counts(i: Inputs) -> DataFrame:
     return out
 
 
-def survival(kind: tuple[str, str], part: str) -> Callable[[Inputs], DataFrame]:
+def all_accounts(i: Inputs) -> DataFrame:
+    return i.churn
+
+
+def matched_accounts(i: Inputs) -> DataFrame:
+    return C.matched_cohort(i.churn, i.pairs)
+
+
+def fitted_match(i: Inputs) -> DataFrame:
+    return C.matched_cohort(i.churn, i.fitted_pairs)
+
+
+Rows = Callable[["Inputs"], DataFrame]
+
+
+def survival(kind: tuple[str, str], part: str, rows: Rows = all_accounts) -> Callable[[Inputs], DataFrame]:
     def run(i: Inputs) -> DataFrame:
-        curve = V.km_curve(i.churn, *kind)
+        curve = V.km_curve(rows(i), *kind)
         if part == "curve":
             return rounded(curve, "survival")
         if part == "band":
@@ -283,9 +405,9 @@ def survival(kind: tuple[str, str], part: str) -> Callable[[Inputs], DataFrame]:
     return run
 
 
-def logrank(kind: tuple[str, str]) -> Callable[[Inputs], DataFrame]:
+def logrank(kind: tuple[str, str], rows: Rows = all_accounts) -> Callable[[Inputs], DataFrame]:
     def run(i: Inputs) -> DataFrame:
-        return rounded(V.logrank_test(i.churn, *kind), "expected", "variance", "chi2", "p_value")
+        return rounded(V.logrank_test(rows(i), *kind), "expected", "variance", "chi2", "p_value")
 
     return run
 
@@ -375,7 +497,7 @@ REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {
     "fct_account_features": lambda i: i.features,
     "usage_join_onset": lambda i: H.usage_join_onset(i.stg, i.churn),
     "usage_join_bucket": lambda i: H.usage_join_bucket(i.stg, i.churn),
-    "errors_join_signup_day": lambda i: H.errors_join_signup_day(i.errors, i.stg),
+    "errors_join_signup_day": lambda i: H.errors_join_signup_day(i.errors, i.companies),
     "group_semi_join": lambda i: H.group_semi_join(i.stg, i.churn, treated=True).select("log_id", "company_id"),
     "orphan_check": lambda i: K.orphan_check(i.usage, i.companies),
     "caliper_match": lambda i: i.pairs,
@@ -457,7 +579,7 @@ REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {
     # causal and survival
     "psm_covariates": psm_covariates,
     "standardize": standardize,
-    "propensity_score": lambda i: C.propensity_score(i.features).select(
+    "propensity_score": lambda i: i.fitted_propensity.select(
         "company_id", round_to("propensity_score", 6).alias("propensity_score")
     ),
     "smd": smd,
@@ -475,10 +597,12 @@ REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {
         "company_id", F.col("industry_enc").cast("int"), F.col("contract_tier_enc").cast("int")
     ),
     "feature_matrix": feature_matrix,
-    "stratified_split": stratified_split,
-    "class_weight": class_weight,
+    "stratified_split": stratified_split("soft_decay_label"),
+    "stratified_split_hard": stratified_split("hard_churn_label"),
+    "class_weight": class_weight("soft_decay_label"),
+    "class_weight_hard": class_weight("hard_churn_label"),
     "train_churn_model": trained_scores,
-    "cross_validate": lambda i: S.cross_validate(i.features),
+    "cross_validate": lambda i: rounded(G.fold_metrics(i.out_of_fold), "mean_auc", "std_auc", "out_of_fold_auc"),
     "roc_auc": lambda i: rounded(Q.roc_auc(i.scored, "churn_probability", "hard_churn_label"), "roc_auc"),
     "average_precision": lambda i: rounded(
         Q.average_precision(i.scored, "churn_probability", "hard_churn_label"), "average_precision"
@@ -506,6 +630,85 @@ REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {
 }
 
 
+
+def by_group(kind_name: str, kind: tuple[str, str], where: str, rows: Rows) -> dict[str, Callable[[Inputs], DataFrame]]:
+    return {
+        f"km_curve_{where}_{kind_name}": survival(kind, "curve", rows),
+        f"km_confidence_{where}_{kind_name}": survival(kind, "band", rows),
+        f"km_median_{where}_{kind_name}": survival(kind, "median", rows),
+        f"logrank_test_{where}_{kind_name}": logrank(kind, rows),
+    }
+
+
+ACCOUNT_VIEWS: dict[str, Callable[[Inputs, int], DataFrame]] = {
+    "account_usage_one": lambda i, a: P.account_usage(i.stg, a),
+    "account_errors_one": lambda i, a: P.account_errors(i.errors, a),
+    "account_card_one": lambda i, a: P.account_card(i.scored, i.features, a),
+    "account_errors_by_code_one": lambda i, a: P.account_errors_by_code(i.errors, a),
+    "account_429_daily_one": lambda i, a: P.account_429_daily(i.errors, a),
+    "account_ttft_vs_portfolio_one": lambda i, a: rounded(P.account_ttft_vs_portfolio(i.stg, a), "portfolio_avg_ttft"),
+    "account_rolling_one": lambda i, a: rounded(P.account_rolling(i.stg, a), "rolling_7d"),
+}
+
+REGISTRY |= {
+    # the fitted model on the side it has not seen
+    "holdout_roc_auc": lambda i: rounded(Q.roc_auc(i.holdout, "probability", "label"), "roc_auc"),
+    "holdout_average_precision": lambda i: rounded(
+        Q.average_precision(i.holdout, "probability", "label"), "average_precision"
+    ),
+    "holdout_roc_pr_curves": lambda i: rounded(
+        Q.roc_pr_curves(i.holdout, "probability", "label"), "threshold", "fpr", "tpr", "precision", "recall"
+    ),
+    "holdout_classification_report": lambda i: rounded(
+        Q.classification_report(i.holdout, "probability", "label"), "precision", "recall", "f1"
+    ),
+    "holdout_confusion_matrix": lambda i: Q.confusion_matrix(i.holdout, "probability", "label"),
+    # accounts and scenarios scored by the fitted model
+    "model_scored_accounts": lambda i: i.model_scored.orderBy(F.desc("churn_probability"), "company_id"),
+    "model_portfolio_kpis": lambda i: P.portfolio_kpis(i.model_scored),
+    "model_alert_feed": lambda i: P.alert_feed(i.model_scored),
+    "model_counterfactual_scenarios": lambda i: W.counterfactual_scenarios(i.features, G.ForestScorer(i.model)),
+    "model_what_if": lambda i: W.what_if(i.features, G.ForestScorer(i.model), 30, 20, 100_000, 30_000),
+    "model_saved_accounts": lambda i: W.saved_accounts(i.features, G.ForestScorer(i.model)),
+    # certificates of fits
+    "train_churn_model_certificate": train_certificate,
+    "save_load_model_certificate": save_load_certificate,
+    "cross_validate_certificate": cross_validate_certificate,
+    "attribution_certificate": attribution_certificate,
+    "top_features_certificate": top_features_certificate,
+    "propensity_score_certificate": propensity_certificate,
+    # the causal chain from the fitted propensity score
+    "fitted_propensity_summary": lambda i: rounded(
+        C.propensity_summary(i.fitted_propensity), "mean", "std", "min", "q_25", "q_50", "q_75", "max"
+    ),
+    "fitted_propensity_overlap": lambda i: rounded(
+        C.propensity_overlap(i.fitted_propensity), "range_min", "range_max", "bin_start", "density"
+    ),
+    "fitted_caliper_match": lambda i: rounded(i.fitted_pairs, "treatment_ps", "control_ps", "ps_diff"),
+    "fitted_match_summary": lambda i: rounded(C.match_summary(i.fitted_propensity, i.fitted_pairs), "avg_ps_diff"),
+    "fitted_balance_table": fitted_balance,
+    "fitted_matched_outcomes": lambda i: rounded(C.matched_outcomes(fitted_match(i)), "mean_days"),
+    # survival of matched accounts
+    **by_group("hard", V.HARD, "matched", matched_accounts),
+    **by_group("soft", V.SOFT, "matched", matched_accounts),
+    **by_group("hard", V.HARD, "fitted", fitted_match),
+    **by_group("soft", V.SOFT, "fitted", fitted_match),
+    # one account, chosen by the data; the feed with both filters
+    **{name: (lambda i, view=view: view(i, i.loudest)) for name, view in ACCOUNT_VIEWS.items()},
+    "alert_feed_filtered": lambda i: P.alert_feed(i.scored, tiers=("Enterprise",), industries=("BUILDING", "MACHINERY")),
+    # three months of usage
+    "fct_cohort_churn_90": lambda i: i.long.churn,
+    "velocity_trends_90": lambda i: M.velocity_trends(i.long.velocity),
+    "cohort_heatmap_90": lambda i: rounded(H.cohort_heatmap(i.long.stg, i.long.churn), *H.HEATMAP_COLUMNS),
+    "heatmap_relative_90": lambda i: rounded(
+        H.heatmap_relative(H.cohort_heatmap(i.long.stg, i.long.churn)), *H.HEATMAP_COLUMNS
+    ),
+    "heatmap_finding_90": lambda i: rounded(
+        H.heatmap_finding(H.cohort_heatmap(i.long.stg, i.long.churn)), "severe_drop_pct", "none_growth_pct"
+    ),
+}
+
+
 def inputs(spark: SparkSession, folder: str) -> Inputs:
     """The plans of a folder, built once per application: building is slow, lazy work."""
     key = (spark.sparkContext.applicationId, folder)
