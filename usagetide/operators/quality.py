@@ -84,3 +84,29 @@ def quality_report(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks).withColumn(
         "status", F.when(F.col("violations") == 0, F.lit("PASS")).otherwise(F.lit("FAIL"))
     )
+
+
+def observed_report(seen: dict[str, dict[str, int]], churn: DataFrame, companies: DataFrame, usage: DataFrame) -> DataFrame:
+    """``quality_report`` of stored models from figures observed while they were written.
+
+    Nulls, group flags and row counts cost no further pass. Uniqueness takes one aggregate over the stored facts
+    (bucketed by company, so without an exchange) and one over the usage rows, which also gives the ids for the orphan check.
+    """
+    spark = churn.sparkSession
+    days = usage.groupBy("company_id", "date").agg(F.count(F.lit(1)).alias("n"))
+    ids = days.groupBy("company_id").agg((F.sum("n") - F.count(F.lit(1))).alias("extra"))
+    known = companies.select("company_id", F.lit(True).alias("known")).distinct()
+    of_usage = ids.join(known, "company_id", "left").agg(
+        F.coalesce(F.sum("extra"), F.lit(0)).alias("extra"), F.count_if(F.col("known").isNull()).alias("orphans")
+    ).first()
+    distinct = churn.groupBy("company_id").agg(F.count(F.lit(1)).alias("n")).agg(F.count("company_id")).first()[0]
+    facts, features = seen["churn"], seen["features"]
+    counts = [
+        ("No duplicate company_id in fct_cohort_churn", facts["rows"] - distinct),
+        ("Treatment/control mutually exclusive", facts["both_groups"]),
+        ("fct_account_features row count matches companies", abs(features["rows"] - companies.count())),
+        ("No nulls in hard_churn_label", facts["no_label"]),
+        ("daily_usage company x date uniqueness", of_usage["extra"]),
+        ("daily_usage orphan company_ids", of_usage["orphans"]),
+    ]
+    return quality_report(spark.createDataFrame(counts, "name string, violations long"))

@@ -178,8 +178,12 @@ def _friction_columns() -> list[Column]:
 
 
 def int_friction_flags(stg: DataFrame, errors: DataFrame, companies: DataFrame) -> DataFrame:
+    return friction_flags(stg, onboarding_errors(errors, companies))
+
+
+def friction_flags(stg: DataFrame, error_counts: DataFrame) -> DataFrame:
     usage = onboarding_usage(stg)
-    pivoted = error_pivot(onboarding_errors(errors, companies))
+    pivoted = error_pivot(error_counts)
     return usage.join(pivoted, "company_id", "left").select(*[F.col(c) for c in usage.columns], *_friction_columns())
 
 
