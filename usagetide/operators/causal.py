@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import equal_width_bin, bin_start, bin_width, ratio, round_to
-from ..functions.running import exact_quantiles
+from ..functions.selection import exact_quantiles
 from ..session import materialize
 
 BASE_COVARIATES = ["is_enterprise", "log_avg_tokens_onboarding", "growth_rate"]

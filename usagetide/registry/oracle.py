@@ -832,6 +832,29 @@ BODIES |= {
     "['intercept', 'is_enterprise', 'log_avg_tokens_onboarding', 'growth_rate']) AS covariate"
     " UNION ALL SELECT DISTINCT 'ind_' || industry FROM companies)",
 }
+RELATIONS |= {
+    "bad_churn": """
+        SELECT * REPLACE (CASE WHEN company_id % 5 = 0 THEN TRUE ELSE is_control END AS is_control,
+                          CASE WHEN company_id % 11 <> 0 THEN hard_churn_label END AS hard_churn_label)
+        FROM (SELECT * FROM churn UNION ALL SELECT * FROM churn WHERE company_id % 7 = 0)""",
+    "bad_features": "SELECT * FROM features WHERE company_id % 13 <> 0",
+    "bad_usage": """
+        SELECT * FROM daily_usage UNION ALL SELECT * FROM daily_usage WHERE company_id % 17 = 0
+        UNION ALL SELECT * REPLACE (company_id + 1000000 AS company_id) FROM daily_usage WHERE company_id % 19 = 0""",
+}
+BODIES |= {
+    "quality_report_observed": BODIES["quality_report"],
+    "quality_report_faulty": re.sub(r"FROM (churn|features|daily_usage)\b", r"FROM bad_\1", BODIES["quality_report"]).replace(
+        "bad_daily_usage", "bad_usage"
+    ),
+    "refresh_velocity": BODIES["int_usage_velocity"],
+    "publish_results": "SELECT 'fct_cohort_churn' AS result, COUNT(*) AS row_count FROM churn"
+    " UNION ALL SELECT 'scored_accounts', COUNT(*) FROM scored",
+    "sift_source": """
+        SELECT CASE error_id % 50 WHEN 0 THEN 'error_code is no int' WHEN 1 THEN 'too many fields' WHEN 2 THEN 'too few fields' ELSE 'good' END
+                   AS kind, COUNT(*) AS n
+        FROM api_errors GROUP BY 1""",
+}
 LATER_BODIES = {f"{name}_90": BODIES[name] for name in ("fct_cohort_churn", "velocity_trends", "cohort_heatmap", "heatmap_relative", "heatmap_finding")}
 
 SQL: dict[str, str] = {name: with_relations(body) for name, body in BODIES.items()}

@@ -22,9 +22,11 @@ from ..operators import scoring as S
 from ..operators import survival as V
 from ..operators import whatif as W
 from ..plans import models as M
+from ..plans import refresh as R
 from ..plans.pipeline import Pipeline
 from ..session import materialize, scratch_path
 from ..sources import readers, sinks, star
+from ..sources.schemas import API_ERRORS
 
 # The test tables cover 30 days.
 HORIZON = 30
@@ -631,6 +633,74 @@ REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {
 
 
 
+def faulty(i: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fact rows, features and usage with violations of every check, by remainders of the account id."""
+    company = F.col("company_id")
+    churn = i.churn.withColumn("is_control", F.when(company % 5 == 0, F.lit(True)).otherwise(F.col("is_control")))
+    churn = churn.withColumn("hard_churn_label", F.when(company % 11 != 0, F.col("hard_churn_label")))
+    churn = churn.unionByName(churn.where(company % 7 == 0))
+    usage = i.usage.unionByName(i.usage.where(company % 17 == 0)).unionByName(
+        i.usage.where(company % 19 == 0).withColumn("company_id", company + 1_000_000)
+    )
+    return churn, i.features.where(company % 13 != 0), usage
+
+
+def quality_report_faulty(i: Inputs) -> DataFrame:
+    churn, features, usage = faulty(i)
+    return K.quality_report(
+        K.check_unique_company(churn), K.check_exclusive_groups(churn), K.check_rowcount(features, i.companies),
+        K.check_not_null(churn), K.check_unique_company_day(usage), K.orphan_check(usage, i.companies),
+    )
+
+
+def quality_report_observed(i: Inputs) -> DataFrame:
+    stored = i.pipe.persist(scratch_path(i.spark, "models"))
+    return K.observed_report(stored.seen, stored.fct_cohort_churn, i.companies, i.usage)
+
+
+def refresh_velocity(i: Inputs) -> DataFrame:
+    """Velocity after three loads: early days without every ninth row and with wrong tokens in every tenth, then both mended, then late days."""
+    folder = scratch_path(i.spark, "refreshed")
+    late = F.col("date") >= F.lit("2024-01-21").cast("date")
+    early, key = i.usage.where(~late), F.col("log_id")
+    wrong = early.where(key % 9 != 0).withColumn(
+        "input_tokens", F.when(key % 10 == 0, F.col("input_tokens") + 1).otherwise(F.col("input_tokens"))
+    )
+    R.build(wrong, i.companies, folder)
+    R.refresh(early.where((key % 9 == 0) | (key % 10 == 0)), i.companies, folder)
+    R.refresh(i.usage.where(late), i.companies, folder)
+    return R.velocity(i.spark, folder).select(*i.velocity.columns)
+
+
+def publish_results(i: Inputs) -> DataFrame:
+    """Rows of the last committed version, after two commits."""
+    folder = scratch_path(i.spark, "published")
+    sinks.publish_results({"scored_accounts": i.scored.limit(0)}, folder)
+    sinks.publish_results({"scored_accounts": i.scored, "fct_cohort_churn": i.churn}, folder)
+    out = None
+    for name in sorted(sinks.published_paths(i.spark, folder)):
+        row = sinks.published(i.spark, folder, name).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("result"), "row_count")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def sift_source(i: Inputs) -> DataFrame:
+    """Good and bad rows, by reason, of the error log as CSV with faults in every 50th field."""
+    number = F.col("error_id")
+    code = F.when(number % 50 == 0, F.lit("none")).otherwise(F.col("error_code").cast("string"))
+    line = F.concat_ws(",", number.cast("string"), F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), F.col("company_id").cast("string"), code, "endpoint")
+    line = F.when(number % 50 == 1, F.concat(line, F.lit(",more"))).when(number % 50 == 2, F.substring_index(line, ",", 3)).otherwise(line)
+    path = scratch_path(i.spark, "damaged")
+    written = i.errors.select(line.alias("error_id,timestamp,company_id,error_code,endpoint"))
+    # One column per line: with another separator, commas are written as they are.
+    written.write.option("header", True).option("sep", "\u0001").csv(path)
+    sifted = readers.sift_source(i.spark, path, API_ERRORS)
+    kind = F.regexp_replace("reason", ": .*", "")
+    return sifted.good.agg(F.lit("good").alias("kind"), F.count(F.lit(1)).alias("n")).unionByName(
+        sifted.bad.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def by_group(kind_name: str, kind: tuple[str, str], where: str, rows: Rows) -> dict[str, Callable[[Inputs], DataFrame]]:
     return {
         f"km_curve_{where}_{kind_name}": survival(kind, "curve", rows),
@@ -693,6 +763,12 @@ REGISTRY |= {
     **by_group("soft", V.SOFT, "matched", matched_accounts),
     **by_group("hard", V.HARD, "fitted", fitted_match),
     **by_group("soft", V.SOFT, "fitted", fitted_match),
+    # storage
+    "quality_report_observed": quality_report_observed,
+    "quality_report_faulty": quality_report_faulty,
+    "refresh_velocity": refresh_velocity,
+    "publish_results": publish_results,
+    "sift_source": sift_source,
     # one account, chosen by the data; the feed with both filters
     **{name: (lambda i, view=view: view(i, i.loudest)) for name, view in ACCOUNT_VIEWS.items()},
     "alert_feed_filtered": lambda i: P.alert_feed(i.scored, tiers=("Enterprise",), industries=("BUILDING", "MACHINERY")),

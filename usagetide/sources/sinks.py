@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 PERSISTED_MODELS = ("stg_daily_usage", "int_cohort_health", "fct_cohort_churn", "fct_account_features")
@@ -75,10 +74,9 @@ _MANIFEST = "version long, run string, published timestamp, name string, path st
 
 
 def _manifest(spark: SparkSession, folder: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
-    except AnalysisException:
-        return None
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest")
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest") if there else None
 
 
 def publish_results(results: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, str]:
