@@ -2,19 +2,22 @@
 
     P(text) = product of P(class of word | class of word before) * P(word | its class)
 
-Word counts cover all training texts. The ``top_words`` most frequent words are items of the clustering
-by themselves; every other word belongs to the item of its ending, so each word, seen or not, has a
-class. Item bigrams are counted over all training texts; their table is bounded by the number of items,
-not by the corpus, and exchange clustering runs on it: item after item moves to the class that raises
-the likelihood most, until a pass moves nothing.
-
-Scoring looks up the most frequent words in a broadcast table of at most ``head_words`` rows and joins
-all others, so the vocabulary may be of any size. Words are known by 64-bit hashes.
+Word counts cover all training texts. Classes are made in two steps. The ``top_words`` most frequent words, and
+the endings of all others, are items; their bigrams over all texts form a table bounded by the number of items, on
+which exchange clustering runs: item after item moves to the class that raises the likelihood most, until a pass
+moves nothing. Then every further word of the head, the most frequent words whose number ``head_words`` bounds,
+moves from its ending's class to the class that raises the likelihood most, given how often each class stands before
+and after it in all texts: one grouped count over (word, side, class), solved where it is grouped. Class bigrams
+are counted anew with these classes. Words beyond the head, seen or not, have the class of their ending.
+
+The head is what occurs at least as often as a cut-off, found from counts of counts; no list of words is sorted. Scoring
+looks the head up in a broadcast table and joins all other words, so the vocabulary may be of any size. Words are
+known by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,10 +34,12 @@ END = np.uint64(0xE5D0F7E87)
 class Settings:
     top_words: int = 767
     endings: int = 256
-    classes: int = 48
+    classes: int = 96
     passes: int = 12
     head_words: int = 400_000
     add: float = 0.1
+    #: Rarer words keep the class of their ending: their contexts say little.
+    least_count: int = 3
     batch_tokens: int = 1_500_000
 
     @property
@@ -51,10 +56,15 @@ class ClassModel:
     counts: DataFrame = field(repr=False)  # word, n: all words of the training texts
     head: np.ndarray = field(repr=False)  # sorted hashes of the most frequent words
     head_counts: np.ndarray = field(repr=False)
-    top: np.ndarray = field(repr=False)  # sorted hashes of the words that are items
-    classes: np.ndarray = field(repr=False)  # class of each item
+    head_classes: np.ndarray = field(repr=False)
+    ending_classes: np.ndarray = field(repr=False)
     moves: np.ndarray = field(repr=False)  # log10 P(class | class before)
     mass: np.ndarray = field(repr=False)  # log10 of what divides a word's smoothed count in its class
+    clustered: int = 0  # words whose class comes from their own contexts
+
+    @property
+    def end_class(self) -> int:
+        return len(self.moves) - 1
 
 
 def tokens(texts: list[bytes], endings: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,29 +142,142 @@ def count_words(docs: DataFrame, text: str = "text", settings: Settings = Settin
     return rows.groupBy("word", "ending").agg(F.sum("n").alias("n"))
 
 
-def count_bigrams(docs: DataFrame, top: np.ndarray, text: str = "text", settings: Settings = Settings()) -> np.ndarray:
-    """Item bigrams over all texts: a square matrix whose size is the number of items."""
-    s = settings
-    size, end = s.items, s.items - 1
+def head_words(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash (sorted), ending and count of all words that occur at least as often as a cut-off; at most ``most`` words.
+
+    The cut-off is the lowest that keeps to the bound. Counts are grouped by their first nine binary digits, so
+    counts below 512 are told apart exactly and larger ones to 1 in 256; that is a few thousand groups, whatever the vocabulary.
+    """
+    least = F.expr("shiftleft(shiftright(n, greatest(length(bin(n)) - 9, 0)), greatest(length(bin(n)) - 9, 0))")
+    groups = sorted(((r.least, r.words) for r in counts.groupBy(least.alias("least")).agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
+    cut, total = None, 0
+    for low, words in groups:
+        total += words
+        if total > most:
+            break
+        cut = low
+    kept = counts.where(F.col("n") >= cut) if cut is not None else counts.limit(0)
+    got = kept.select("word", "ending", "n").toArrow()
+    words = got.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    return words[order], got.column("ending").to_numpy()[order].astype(np.int64), got.column("n").to_numpy()[order]
+
+
+def _sequences(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Word hashes, endings and bounds of consecutive texts."""
+    for batch in batches:
+        for _, texts in T.buffers(batch.column(0)):
+            yield tokens(texts, s.endings)
+
+
+def _matrix(docs: DataFrame, text: str, size: int, end: int, s: Settings, of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Bigrams, over all texts, of the numbers below ``size`` that ``of`` gives words: a square matrix."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, dtype=np.int64)
-        for batch in batches:
-            for _, texts in T.buffers(batch.column(0)):
-                h, e, bounds = tokens(texts, s.endings)
-                seq = np.concatenate(([end], _with_ends(_items(h, e, top, s), bounds, end)))
-                code, n = np.unique(seq[:-1] * size + seq[1:], return_counts=True)
-                total[code] += n
+        for h, e, bounds in _sequences(batches, s):
+            seq = np.concatenate(([end], _with_ends(of(h, e), bounds, end)))
+            code, n = np.unique(seq[:-1] * size + seq[1:], return_counts=True)
+            total[code] += n
         code = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int32)), pa.array(total[code])], names=["code", "n"])
 
     rows = _slim(docs, text).mapInArrow(work, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    got = rows.toArrow()  # at most items^2 rows of 12 bytes
+    got = rows.toArrow()  # at most size^2 rows of 12 bytes
     matrix = np.zeros(size * size, dtype=np.int64)
     matrix[got.column("code").to_numpy()] = got.column("n").to_numpy()
     return matrix.reshape(size, size)
 
 
+def count_bigrams(docs: DataFrame, top: np.ndarray, text: str = "text", settings: Settings = Settings()) -> np.ndarray:
+    """Item bigrams over all texts: a square matrix whose size is the number of items."""
+    s = settings
+    return _matrix(docs, text, s.items, s.items - 1, s, lambda h, e: _items(h, e, top, s))
+
+
+def _class_of(hashes: np.ndarray, endings: np.ndarray, head: np.ndarray, head_classes: np.ndarray, ending_classes: np.ndarray) -> np.ndarray:
+    at, there = _find(head, hashes)
+    return np.where(there, head_classes[at] if len(head) else 0, ending_classes[endings])
+
+
+def best_classes(word: np.ndarray, side: np.ndarray, context: np.ndarray, n: np.ndarray, bigrams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words (sorted runs of ``word``) and the class, other than the last, whose likelihood gains most by them.
+
+    A row says how often class ``context`` stands before (side 0) or after (1) a word. A word in class k adds
+    its counts to row and column k of the class bigrams, and to the sums that divide them.
+    """
+    table = bigrams.astype(np.float64)
+    both = np.stack((table, table.T))  # [side, context, k]
+    first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+    gain = np.zeros((len(first), len(table)))
+    owner = np.repeat(np.arange(len(first)), np.diff(np.concatenate((first, [len(word)]))))
+    for at in range(0, len(word), 1 << 14):
+        part = slice(at, at + (1 << 14))
+        now = both[side[part], context[part]]
+        np.add.at(gain, owner[part], _g(now + n[part, None]) - _g(now))
+    before = np.bincount(owner, np.where(side == 0, n, 0), len(first))[:, None]
+    after = np.bincount(owner, np.where(side == 1, n, 0), len(first))[:, None]
+    into, out = table.sum(axis=0)[None, :], table.sum(axis=1)[None, :]
+    gain -= _g(into + before) - _g(into) + _g(out + after) - _g(out)
+    gain[:, -1] = -np.inf
+    return word[first], gain.argmax(axis=1)
+
+
+def assign_classes(
+    docs: DataFrame, head: np.ndarray, wanted: np.ndarray, head_classes: np.ndarray, ending_classes: np.ndarray, bigrams: np.ndarray,
+    text: str, s: Settings,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``head`` and best classes of the ``wanted`` words, from their contexts in all texts."""
+    size, end = len(bigrams), len(bigrams) - 1
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, tokens_held = [], 0
+
+        def flush() -> pa.RecordBatch:
+            code, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            word, rest = np.divmod(code, 2 * size)
+            return pa.RecordBatch.from_arrays([pa.array(word.astype(np.int32)), pa.array(rest.astype(np.int32)), pa.array(n)], names=["word", "slot", "n"])
+
+        for h, e, bounds in _sequences(batches, s):
+            seq = np.concatenate(([end], _with_ends(_class_of(h, e, head, head_classes, ending_classes), bounds, end)))
+            at, there = _find(head, h)
+            there &= wanted[at] if len(head) else False
+            # Place of a word in the sequence: one end before all, and one after each text before its own.
+            place = 1 + np.arange(len(h)) + np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+            words, place = at[there] * (2 * size), place[there]
+            held += [words + seq[place - 1], words + size + seq[place + 1]]
+            tokens_held += len(words)
+            if tokens_held >= s.batch_tokens:
+                yield flush()
+                tokens_held = 0
+        if held:
+            yield flush()
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: np.ndarray | None = None
+
+        def chosen(rows: np.ndarray) -> pa.RecordBatch:
+            found, best = best_classes(rows[:, 0], rows[:, 1] // size, rows[:, 1] % size, rows[:, 2], bigrams)
+            return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(best.astype(np.int32))], names=["word", "class"])
+
+        for batch in batches:
+            now = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)], axis=1)
+            rest = now if rest is None else np.concatenate((rest, now))
+            # The last word may go on in the next batch.
+            end_ = int(np.searchsorted(rest[:, 0], rest[-1, 0])) if len(rest) else 0
+            if end_:
+                yield chosen(rest[:end_])
+                rest = rest[end_:]
+        if rest is not None and len(rest):
+            yield chosen(rest)
+
+    counted = _slim(docs, text).mapInArrow(contexts, "word int, slot int, n long").groupBy("word", "slot").agg(F.sum("n").alias("n"))
+    grouped = counted.repartition("word").sortWithinPartitions("word", "slot")
+    got = grouped.mapInArrow(choose, "word int, class int").toArrow()  # at most one row for each word of the head
+    return got.column("word").to_numpy().astype(np.int64), got.column("class").to_numpy().astype(np.int64)
+
+
 def _g(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
@@ -221,28 +344,37 @@ def fit(docs: DataFrame, text: str = "text", settings: Settings = Settings()) ->
     n_docs = docs.count()
     sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, vocabulary = (sums.n or 0) + n_docs, sums.v + (n_docs > 0)
-    # Bounded by ``head_words``: 16 bytes each.
-    head = counts.orderBy(F.desc("n"), "word").limit(s.head_words).select("word", "n").toArrow()
-    words, freq = head.column("word").to_numpy().view(np.uint64), head.column("n").to_numpy()
-    rank = np.argsort(-freq, kind="stable")[: s.top_words]
-    top = np.sort(words[rank])
-    by_hash = np.argsort(words)
+    # Bounded by ``head_words``: 20 bytes each.
+    head, endings, freq = head_words(counts, s.head_words)
+    order = np.lexsort((head, -freq))[: s.top_words]
+    top = np.sort(head[order])
     bigrams = count_bigrams(docs, top, text, s)
-    classes = exchange(bigrams, s.classes, s.passes)
+    items = exchange(bigrams, s.classes, s.passes)
+    ending_classes = items[s.top_words : s.top_words + s.endings]
+    head_classes = items[_items(head, endings, top, s)]
     hot = np.zeros((s.items, s.classes))
-    hot[np.arange(s.items), classes] = 1
+    hot[np.arange(s.items), items] = 1
     n = hot.T @ bigrams @ hot
+    # Every other word of the head to its best class; then the classes' bigrams as they now are.
+    wanted = freq >= s.least_count
+    wanted[order] = False
+    if wanted.any():
+        found, best = assign_classes(docs, head, wanted, head_classes, ending_classes, n, text, s)
+        head_classes[found] = best
+        n = _matrix(docs, text, s.classes, s.classes - 1, s, lambda h, e: _class_of(h, e, head, head_classes, ending_classes)).astype(np.float64)
     moves = np.log10((n + s.add) / (n.sum(axis=1, keepdims=True) + s.add * s.classes))
-    # Distinct words of each item: a word of its own, or all others with the ending.
-    per_item = np.zeros(s.items)
-    per_item[: len(top)] = 1
-    per_item[-1] = n_docs > 0
-    own = counts.where(F.col("word").isin([int(w) for w in top.view(np.int64)]))
-    for sign, rows in ((1, counts), (-1, own)):
-        for r in rows.groupBy("ending").agg(F.count(F.lit(1)).alias("v")).collect():  # at most ``endings`` rows
-            per_item[s.top_words + r.ending] += sign * r.v
-    mass = np.log10(n.sum(axis=0) + s.add * (hot.T @ per_item + 1))
-    return ClassModel(s, int(total), n_docs, int(vocabulary), counts.select("word", "n"), words[by_hash], freq[by_hash], top, classes, moves, mass)
+    # Distinct words of each class: those of the head, and all others by their ending.
+    per_class = np.bincount(head_classes, minlength=s.classes).astype(np.float64)
+    others = -np.bincount(endings, minlength=s.endings)
+    for r in counts.groupBy("ending").agg(F.count(F.lit(1)).alias("v")).collect():  # at most ``endings`` rows
+        others[r.ending] += r.v
+    np.add.at(per_class, ending_classes, others)
+    per_class[-1] += n_docs > 0
+    mass = np.log10(n.sum(axis=0) + s.add * (per_class + 1))
+    return ClassModel(
+        s, int(total), n_docs, int(vocabulary), counts.select("word", "n"), head, freq, head_classes, ending_classes, moves, mass,
+        int(wanted.sum()) + len(top),
+    )
 
 
 def score(docs: DataFrame, model: ClassModel, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -251,8 +383,9 @@ def score(docs: DataFrame, model: ClassModel, key: str = "doc_id", text: str = "
     ``base_score`` is the smoothed unigram model over the same counts. One row comes out for each row that
     goes in, repeated rows and null keys included.
     """
-    s, end = model.settings, model.settings.items - 1
-    head, top, classes, moves, mass = model.head, model.top, model.classes, model.moves, model.mass
+    s, end = model.settings, model.end_class
+    head, moves, mass = model.head, model.moves, model.mass
+    head_classes, ending_classes = model.head_classes, model.ending_classes
     head_counts, counts = model.head_counts, model.counts
     whole = float(np.log10(model.tokens + s.add * (model.vocabulary + 1)))
     end_log, end_known = float(np.log10(model.documents + s.add)), int(model.documents > 0)
@@ -262,7 +395,7 @@ def score(docs: DataFrame, model: ClassModel, key: str = "doc_id", text: str = "
         for first, texts in T.buffers(batch.column(1)):
             h, e, bounds = tokens(texts, s.endings)
             n = np.diff(bounds) + 1
-            c = classes[np.concatenate(([end], _with_ends(_items(h, e, top, s), bounds, end)))]
+            c = np.concatenate(([end], _with_ends(_class_of(h, e, head, head_classes, ending_classes), bounds, end)))
             steps = moves[c[:-1], c[1:]] - mass[c[1:]]
             class_log = np.add.reduceat(steps, np.cumsum(n) - n)
             at, there = _find(head, h)
