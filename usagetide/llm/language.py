@@ -6,8 +6,10 @@ Embeddings and softmax are trained together by stochastic gradient descent in nu
 linear after the average, prediction needs one row of class scores per bucket, which is all that
 tasks receive.
 
-The fit uses a bounded sample: about ``per_lang`` whole texts of each language, chosen by a hash of
-the key. Probabilities are scaled by a temperature fitted on texts that training did not see, and a
+The fit uses a bounded sample: spans of at most ``span_bytes`` of about ``per_lang`` texts of each
+language, texts and places chosen by hashes, all of them within ``sample_bytes`` on the driver. Every
+language of the texts is learned, also one with a handful of texts: rare ones come up as often as
+frequent ones. Predictions read whole texts. Probabilities are scaled by a temperature fitted on texts that training did not see, and a
 prediction is rejected when its probability is below a threshold set on the same texts.
 """
 
@@ -28,14 +30,25 @@ BUCKETS = 1 << 16
 
 @dataclass(frozen=True)
 class Settings:
+    #: Texts of each language that are learned from, about so many, and the bytes that a text gives at most.
     per_lang: int = 200
-    max_langs: int = 200
+    span_bytes: int = 1500
+    #: Bound, in bytes, of the sample on the driver; many languages give shorter spans.
+    sample_bytes: int = 32_000_000
     buckets: int = BUCKETS
     dim: int = 16
     epochs: int = 12
+    #: Steps of training at least, however few texts there are.
+    least_steps: int = 600
     rate: float = 20.0
     piece_bytes: int = 160
     calibration_share: float = 0.2
+
+    def span(self, langs: int) -> int:
+        """Bytes taken from a text. An n-gram costs four bytes, and a byte begins one of each order."""
+        fits = self.sample_bytes // max(1, langs * self.per_lang * 4 * len(ORDERS))
+        return max(self.piece_bytes, min(self.span_bytes, fits))
+
     #: At most this share of right predictions on the calibration texts may be rejected ...
     reject_share: float = 0.001
     #: ... and never one whose calibrated probability is at least this.
@@ -52,9 +65,20 @@ class LanguageModel:
     threshold: float = 0.0
 
 
+def folded(data: bytes) -> bytes:
+    """A-Z and the capital letters of Latin-1 in lower case."""
+    a = np.frombuffer(data.lower(), dtype=np.uint8)
+    if len(a) < 2 or 0xC3 not in data:
+        return a.tobytes()
+    a = a.copy()
+    after = a[1:]
+    after[(a[:-1] == 0xC3) & (after >= 0x80) & (after <= 0x9E) & (after != 0x97)] += 0x20
+    return a.tobytes()
+
+
 def grams(data: bytes, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the second byte, and buckets, of all n-grams that hold white space only at their ends."""
-    a = np.frombuffer(data.lower(), dtype=np.uint8)
+    a = np.frombuffer(folded(data), dtype=np.uint8)
     space = T._is_space()[a]
     n = len(a) - order + 1
     if n <= 0:
@@ -76,7 +100,7 @@ def grams(data: bytes, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray
 def _bag(data: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
     total = np.zeros(buckets, dtype=np.int64)
-    data = b"\n" + data + b"\n"
+    data = b"\n" + folded(data) + b"\n"
     # Parts overlap by what an n-gram needs, so each starts in one part and a word may be of any length.
     for at in range(0, len(data), T.BUFFER_BYTES):
         for order in ORDERS:
@@ -86,14 +110,17 @@ def _bag(data: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sample(docs: DataFrame, key: str, text: str, lang: str, s: Settings) -> tuple[list[str], DataFrame]:
+    """All languages of the texts, and about ``per_lang`` texts of each; rare languages with all of theirs."""
     named = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = named.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(s.max_langs).collect()
-    # Hash below a share of its range: a fixed choice, about ``per_lang`` texts of each language.
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col(lang) == r[lang], F.lit(min(1.0, s.per_lang / r.n))).otherwise(share)
+    counts = named.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per language
+    # Hash below a share of its range: a fixed choice. A table of shares, so any number of languages is one join.
+    shares = [(r[lang], min(1.0, s.per_lang / r.n)) for r in counts]
+    if not shares:
+        return [], named.limit(0)
     place = F.pmod(F.xxhash64(F.lit(s.seed), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
-    return sorted(r[lang] for r in counts), named.where(place < share)
+    table = docs.sparkSession.createDataFrame(shares, "sample_lang string, sample_share double")
+    met = named.join(F.broadcast(table), F.col(lang) == F.col("sample_lang")).where(place < F.col("sample_share"))
+    return sorted(r[lang] for r in counts), met
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> LanguageModel:
@@ -102,25 +129,28 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     langs, chosen = _sample(docs, key, text, lang, s)
     if not langs:
         return LanguageModel([], np.zeros((s.buckets, 0), np.float32), np.zeros(0))
+    span, kind = s.span(len(langs)), _id_type(s)
 
     def bags(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         names, order = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         out: list[list] = [[], [], [], [], []]
         for name, value, place in zip(names, batch.column(1), order):
             data = value.as_py()
-            # The whole text, and a short piece of it so that short texts are learned too.
+            # A span of the text, and a short piece of it so that short texts are learned too.
             start = place % max(1, len(data))
             piece = data[start : start + s.piece_bytes].split(b" ", 1)[-1].rsplit(b" ", 1)[0]
-            for whole, part in ((True, data), (False, piece)):
+            begin = (place // 7) % max(1, len(data) - span)
+            for whole, part in ((True, data[begin : begin + span]), (False, piece)) if span > s.piece_bytes else ((True, data[begin : begin + span]),):
                 ids, counts = _bag(part, s.buckets)
                 if len(ids):
-                    for column, v in zip(out, (name, whole, place, ids.tobytes(), counts.tobytes())):
+                    counts = np.minimum(counts, 0xFFFF).astype(np.uint16)
+                    for column, v in zip(out, (name, whole, place, ids.astype(kind).tobytes(), counts.tobytes())):
                         column.append(v)
         kinds = (pa.string(), pa.bool_(), pa.int64(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["lang", "whole", "place", "ids", "counts"])
 
-    slim = chosen.select(lang, T.utf8(text), F.shiftrightunsigned(F.xxhash64(F.lit(s.seed + 1), F.col(key), F.col(text)), 1).alias("place"))
-    # Bounded: two bags for each of about per_lang texts of at most max_langs languages.
+    slim = chosen.select(F.col(lang).cast("string").alias("lang"), T.utf8(text).alias("data"), F.shiftrightunsigned(F.xxhash64(F.lit(s.seed + 1), F.col(key), F.col(text)), 1).alias("place"))
+    # Bounded by ``sample_bytes``: bags of bounded spans of about ``per_lang`` texts of each language.
     rows = T.map_batches(slim, bags, "lang string, whole boolean, place long, ids binary, counts binary").collect()
     rows.sort(key=lambda r: (r.place, r.lang, not r.whole, r.ids))
     model = _train(rows, langs, s)
@@ -128,6 +158,18 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     return model
 
 
+def _id_type(s: Settings) -> type:
+    return np.uint16 if s.buckets <= 1 << 16 else np.uint32
+
+
+def _balanced(y: np.ndarray, rows: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """``rows`` in random order, those of rarer languages as often as those of the most frequent one, in turn."""
+    groups = [rng.permutation(rows[y[rows] == k]) for k in np.unique(y[rows])]
+    most = max(map(len, groups))
+    turns = np.stack([np.resize(g, most) for g in groups], axis=1)
+    return rng.permuted(turns, axis=1).ravel()
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -139,8 +181,8 @@ def _train(rows: list, langs: list[str], s: Settings) -> LanguageModel:
     held = np.array([(r.place % 1000) < 1000 * s.calibration_share for r in rows], dtype=bool)
     whole = np.array([r.whole for r in rows], dtype=bool)
     # Views of the collected bytes; a text's weights are made when it is used, so the sample is held once.
-    ids = [np.frombuffer(r.ids, dtype=np.uint32) for r in rows]
-    counts = [np.frombuffer(r.counts, dtype=np.uint32) for r in rows]
+    ids = [np.frombuffer(r.ids, dtype=_id_type(s)) for r in rows]
+    counts = [np.frombuffer(r.counts, dtype=np.uint16) for r in rows]
 
     def share(i: int) -> np.ndarray:
         return (counts[i] / counts[i].sum()).astype(np.float32)
@@ -150,9 +192,12 @@ def _train(rows: list, langs: list[str], s: Settings) -> LanguageModel:
     weights = rng.normal(0, 0.05, (s.dim, len(langs))).astype(np.float32)
     bias = np.zeros(len(langs), dtype=np.float32)
     train = np.flatnonzero(~held) if (~held).any() else np.arange(len(y))
-    size, steps, done = 16, s.epochs * -(-len(train) // 16), 0
-    for _ in range(s.epochs):
-        order = rng.permutation(train)
+    size, done = 16, 0
+    epoch = -(-len(_balanced(y, train, np.random.default_rng(0))) // size)
+    epochs = max(s.epochs, -(-s.least_steps // epoch))
+    steps = epochs * epoch
+    for _ in range(epochs):
+        order = _balanced(y, train, rng)
         for at in range(0, len(order), size):
             rate = s.rate * (1 - done / steps)
             done += 1
