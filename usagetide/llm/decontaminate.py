@@ -216,12 +216,14 @@ def items_digest() -> Column:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without the contaminated documents; columns and repeated rows stay.
+    """``docs`` without the contaminated documents; columns, whatever their names, and repeated rows stay.
 
-    The texts themselves never shuffle: the list of contaminated rows is joined by key and text hash.
+    Null and empty texts and null keys are kept, as is everything where the benchmark is empty. An empty table stays empty. The texts themselves never shuffle: the list of contaminated rows is joined by key and text hash.
     """
-    named = docs.withColumns({"dc_hash": F.xxhash64(text), "dc_length": F.length(text)})
-    keyed = named.select(F.col(key).alias("dc_key"), "dc_hash", "dc_length", F.col(text).alias("dc_text"))
+    marks = [F.xxhash64(text).alias("dc_hash"), F.length(text).alias("dc_length")]
+    # The row travels as one struct, so no column of it can clash.
+    named = docs.select(F.struct("*").alias("doc"), F.col(key).alias("dc_own"), *marks)
+    keyed = docs.select(F.col(key).alias("dc_key"), *marks, F.col(text).alias("dc_text"))
     by = ["dc_key", "dc_hash", "dc_length"]
     rows = occurrences(keyed, benchmark, by, "dc_text", **options).where("start IS NOT NULL")
     spot = Window.partitionBy(*by).orderBy("start", "length")
@@ -234,8 +236,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         .where(F.col("n_hit") * 20 >= F.col("n_words"))
     )
     same = (
-        F.col(key).eqNullSafe(F.col("dc_key"))
+        F.col("dc_own").eqNullSafe(F.col("dc_key"))
         & (named["dc_hash"] == bad["dc_hash"])
         & named["dc_length"].eqNullSafe(bad["dc_length"])
     )
-    return named.join(bad, same, "left_anti").drop("dc_hash", "dc_length")
+    return named.join(bad, same, "left_anti").select("doc.*")

@@ -413,13 +413,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """One row of each group of near-duplicates: the one with the smallest key, with all its columns.
+    """One row of each group of near-duplicates: the one with the smallest key, with all its columns, whatever their names.
 
     Rows that repeat key and text are reduced to one. Rows without a key stay where no row of their group has one.
+    Null texts and texts without words are copies of nothing. An empty table stays empty.
     """
     kept = near_duplicates(docs, key, text, settings).where("kept").select(F.col(key).alias("nd_key"), F.col("text_hash").alias("nd_hash")).distinct()
-    named = docs.withColumn("nd_text", F.xxhash64(text))
-    same = named[key].eqNullSafe(kept["nd_key"]) & (named["nd_text"] == kept["nd_hash"])
+    # The row travels as one struct, so no column of it can clash.
+    named = docs.select(F.struct("*").alias("doc"), F.col(key).alias("nd_own"), F.xxhash64(text).alias("nd_text"))
+    same = named["nd_own"].eqNullSafe(kept["nd_key"]) & (named["nd_text"] == kept["nd_hash"])
     stays = named.join(kept, same, "left_semi")
-    one = stays.where(F.col(key).isNotNull()).dropDuplicates([key, "nd_text"])
-    return one.unionByName(stays.where(F.col(key).isNull())).drop("nd_text")
+    one = stays.where("nd_own IS NOT NULL").dropDuplicates(["nd_own", "nd_text"])
+    return one.unionByName(stays.where("nd_own IS NULL")).select("doc.*")
