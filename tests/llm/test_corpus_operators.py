@@ -481,7 +481,7 @@ def test_against_duckdb(shared, name):
     import duckdb
 
     connection = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     want = connection.execute(queries.SQL[name]).df()
     got = queries.QUERIES[name](shared, SMALL).toPandas()
