@@ -3,6 +3,10 @@
 Every stage reads what its predecessor kept as a Parquet table in the shared folder, so a lost
 executor repeats tasks of one stage and lineage never grows. All but the last return the columns
 of ``documents``; the last returns one row per packed piece.
+
+Every stage takes null texts, null ids, repeated rows, empty tables and further columns of any name. Documents
+with a null or empty text have no letter and go at the first stage. Rows that repeat id and text are one row
+after the third. An empty ``documents`` gives no pieces, an empty ``benchmark`` removes nothing.
 """
 
 from __future__ import annotations
@@ -19,27 +23,30 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised with enough confidence; texts without a letter go."""
+    """Documents whose language is recognised with enough confidence; texts without a letter, null ones among them, go.
+
+    Where no document has a text and a language, none can be recognised and all go.
+    """
     return language.accept(docs, language.fit(docs))
 
 
 def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the policy in force accepts."""
+    """Documents that the policy in force accepts; a null text has no words and goes."""
     return rules.accept(docs, rules.POLICIES["v1"])
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
+    """The document with the smallest id of each group of near-duplicates; ones without an id stay where their group has no id."""
     return neardup.deduplicate(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage of weight."""
+    """Documents that hold no benchmark passage of weight; items without words match nothing."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their place in training sequences."""
+    """Pieces of all documents with their place in training sequences; an empty text is one piece of its end alone."""
     return packing.pack_documents(docs, tokenizer_path())
 
 
