@@ -38,6 +38,11 @@ HEADLINE = [
     "portfolio_kpis",
     "account_rolling",
     "quality_report",
+    "propensity_score",
+    "persist_model",
+    "quality_report_observed",
+    "refresh_velocity",
+    "logrank_test_matched_soft",
 ]
 
 
