@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import materialize
 
-BINS = 1024
+BINS = 8192
 
 
 @dataclass
@@ -75,9 +75,13 @@ def order_statistics(
     return found
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, value: str, probabilities: Sequence[float], groups: Sequence[str] = (), stored: bool = False
+) -> DataFrame:
     """Linear-interpolated quantiles ``q_<percent>`` per group; NULL and NaN have no rank.
 
+    ``stored`` says that ``df`` is cheap to read again; else its values are stored first.
+
     ``groups`` is meant for a handful of values such as a flag. Infinite values count as the largest doubles. Without
     groups, an empty table gives one row of NULLs.
     """
@@ -86,7 +90,7 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], g
     rows = df.where(number.isNotNull() & ~F.isnan(number)).select(
         *groups, F.greatest(F.least(number, F.lit(most)), F.lit(-most)).alias("value")
     )
-    rows = materialize(rows)
+    rows = rows if stored else materialize(rows)
     sizes = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).collect()
     sizes = {tuple(r)[: len(groups)]: (r.n, r.low, r.high) for r in sizes if r.n}
     places = {g: [(n - 1) * float(p) for p in probabilities] for g, (n, _, _) in sizes.items()}

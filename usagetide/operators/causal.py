@@ -172,7 +172,7 @@ def propensity_summary(scored: DataFrame, score: str = "propensity_score") -> Da
         F.min(score).alias("min"),
         F.max(score).alias("max"),
     )
-    quartiles = exact_quantiles(scored, score, [0.25, 0.5, 0.75], ["is_treatment"])
+    quartiles = exact_quantiles(scored, score, [0.25, 0.5, 0.75], ["is_treatment"], stored=True)
     return by_group.join(F.broadcast(quartiles), "is_treatment").select(
         "is_treatment", "n", "mean", "std", "min", "q_25", "q_50", "q_75", "max"
     )
