@@ -1,4 +1,4 @@
-"""Data-quality checks; each returns one row with its number of violations."""
+"""Data-quality checks; each returns one row with its number of violations. The names of the checks are fixed values."""
 
 from __future__ import annotations
 

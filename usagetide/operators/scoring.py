@@ -135,11 +135,12 @@ def _training_set(rows: DataFrame, balance: Row, *extra: str) -> DataFrame:
 
     Boosting runs some ten short jobs per tree. The checkpoint keeps each of
     them from planning the feature lineage again, and on few rows the number
-    of tasks sets the run time; ``coalesce`` never adds partitions.
+    of tasks sets the run time. The rows are dealt anew, so what stands above
+    keeps its own number of tasks.
     """
     tasks = -(-(balance["negatives"] + balance["positives"]) // ROWS_PER_TASK)
     weighted = with_weights(rows, balance["weight"]).select("label", "weight", *extra, *ENCODED, *NUMERIC_FEATURES)
-    return materialize(weighted.coalesce(max(1, tasks))).persist()
+    return materialize(weighted.repartition(max(1, tasks))).persist()
 
 
 def _stored(features: DataFrame) -> DataFrame:
@@ -203,6 +204,7 @@ def load_model(path: str) -> PipelineModel:
 
 # ------------------------------------------------------------- prescriptions
 
+# Output columns in order.
 SCORED_COLUMNS = [
     "company_id",
     "company_name",

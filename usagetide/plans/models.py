@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import business as B
 from ..functions.numeric import exact_avg, exact_slope, round_to
 
+# The attributes of an account.
 ACCOUNT_KEYS = [
     "company_id",
     "company_name",
@@ -299,6 +300,7 @@ def trend_aggregates() -> list[Column]:
     ]
 
 
+# Names of the trend columns.
 TREND_OUTPUT = [
     ("raw_tokens_0_14", "avg_tokens_days_0_14", 0),
     ("raw_tokens_15_30", "avg_tokens_days_15_30", 0),
