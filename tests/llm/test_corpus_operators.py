@@ -420,8 +420,8 @@ def test_contamination_matches_brute_force(shared, odd_docs, no_docs):
                     hit |= set(range(k, k + n))
                     names |= windows[tuple(w[k : k + n])]
         want.append((i, len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(w)))
-    for limit in (decontaminate.BROADCAST_WINDOWS, 0):
-        found = decontaminate.contamination(odd_docs, bench, broadcast_windows=limit)
+    for limit in (decontaminate.frames.HOT_LEAST, 1):
+        found = decontaminate.contamination(odd_docs, bench, hot_rows=limit)
         got = found.select("doc_id", "n_words", "n_hit", "n_items", decontaminate.items_digest().alias("h"), "contaminated").collect()
         assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     clean = decontaminate.clean(odd_docs, bench)
@@ -431,6 +431,29 @@ def test_contamination_matches_brute_force(shared, odd_docs, no_docs):
     assert {r.n_hit for r in decontaminate.contamination(odd_docs, bench.limit(0)).collect()} == {0}
 
 
+def test_one_plan_splits_a_hot_prefix_shingle(shared, monkeypatch):
+    """A window made of frequent words: its rarest shingle is hot. Also a bitmap so small that most places pass."""
+    from pyspark.sql import functions as F
+
+    hot = "one two " * 6 + "one"
+    bench = shared.createDataFrame([("b1", hot), ("b2", "two one two"), ("b3", prose(5, 40))], "item_id string, text string")
+    docs = shared.range(60).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("one two " * 40)).when(F.col("id") % 3 == 1, F.lit(prose(5, 40))).otherwise(F.lit("two one. one two")).alias("text"))
+    got = {}
+    for rows in (1, 64):
+        monkeypatch.setattr(decontaminate, "BITMAP_ROWS", rows)
+        found = decontaminate.contamination(docs, bench, hot_rows=5)
+        got[rows] = {r.doc_id: (r.n_words, r.n_hit, r.items) for r in found.collect()}
+    assert got[1] == got[64]
+    n = len(prose(5, 40).split())
+    for i, r in got[1].items():
+        if i % 3 == 0:
+            assert r == (80, 80, ["b1", "b2"])
+        elif i % 3 == 1:
+            assert r[1:] == (r[0], ["b3"]) and n <= r[0]
+        else:
+            assert r == (4, 0, [])
+
+
 # ---------------------------------------------------------------- 10
 
 

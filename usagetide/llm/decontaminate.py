@@ -9,6 +9,11 @@ the text, and a slice comparison verifies the words.
 
 Words are compared as text. Shingles are 64-bit hashes, used to find candidates only, so a
 hash collision costs a comparison and changes nothing.
+
+One plan serves every size of either table. The tasks that split texts hold a bitmap of the
+benchmark's shingles, whose size does not depend on the data, and drop all other places before
+anything shuffles. What passes carries the few words around it, so texts never move; a prefix
+shingle that is frequent in the documents is split into parts by its count.
 """
 
 from __future__ import annotations
@@ -21,8 +26,10 @@ from . import frames
 
 WINDOW = 13
 SHINGLE = 3
-#: Above this many distinct windows the benchmark side is no longer broadcast.
-BROADCAST_WINDOWS = 1_000_000
+#: The bitmap has at most this many rows of 64 bits: 4 MB of bits, 33 million places. More shingles only let more rows pass.
+BITMAP_ROWS = 1 << 19
+#: Rows that stand for documents have no shingle to be dealt by; they are dealt into so many parts.
+DOCUMENT_PARTS = 1 << 16
 _NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -100,6 +107,27 @@ def _places(texts: DataFrame, keep: Sequence[str], widths: Sequence[int]) -> Dat
     return placed.withColumn("shingle", shingle).drop("step")
 
 
+_BIT = "pmod(shiftrightunsigned(shingle, 32), 64)"
+
+
+def _bitmap(shingles: DataFrame) -> DataFrame:
+    """``slot`` and ``bits``: one bit set for every shingle, in at most ``BITMAP_ROWS`` rows."""
+    return frames.materialize(
+        shingles.select(F.pmod("shingle", F.lit(BITMAP_ROWS)).alias("slot"), F.expr(f"shiftleft(1L, cast({_BIT} as int))").alias("bit"))
+        .groupBy("slot")
+        .agg(F.bit_or("bit").alias("bits"))
+    )
+
+
+def _passing(places: DataFrame, bitmap: DataFrame, how: str) -> DataFrame:
+    """Places whose bit is set, and with ``how`` "left" also the rows that stand for documents."""
+    slotted = places.withColumn("slot", F.pmod("shingle", F.lit(BITMAP_ROWS)))
+    passes = F.expr(f"coalesce(getbit(bits, cast({_BIT} as int)) = 1, false)")
+    if how == "left":
+        passes = passes | (F.col("at") == 0)
+    return slotted.join(F.broadcast(bitmap), "slot", how).where(passes)
+
+
 def occurrences(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -107,63 +135,57 @@ def occurrences(
     text: str = "text",
     window: int = WINDOW,
     shingle: int = SHINGLE,
-    broadcast_windows: int = BROADCAST_WINDOWS,
+    hot_rows: int = frames.HOT_LEAST,
 ) -> DataFrame:
     """One row per document, ``start`` null, with ``n_words``; and one per occurrence of a window.
 
-    Occurrence rows add ``start`` (1-based word), ``length`` and ``items``. Rows carry ``keep``.
-    The benchmark side is broadcast only while it has at most ``broadcast_windows`` windows; beyond,
-    narrow rows are joined by shuffle, and ``keep`` must tell texts apart.
+    Occurrence rows add ``start`` (1-based word), ``length`` and ``items``. Rows carry ``keep``. Repeated
+    documents give repeated rows. A prefix shingle found more than ``hot_rows`` times, and in more than
+    1 / ``frames.HOT_PARTS`` of all places that prefix shingles have, is joined in parts of that size.
     """
     windows = frames.materialize(benchmark_windows(benchmark, window=window))
     shingles = _window_shingles(windows, shingle)
-    small = windows.count() <= broadcast_windows
-
-    def side(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-
     widths = [r.width for r in shingles.select("width").distinct().orderBy("width").collect()]  # at most ``shingle`` rows
     texts = docs.select(*keep, words(text).alias("w"))
-    base = texts.select(*keep, F.size("w").alias("n_words"), F.lit(None).cast("int").alias("start"),
-                        F.lit(None).cast("int").alias("length"), F.lit(None).cast("array<string>").alias("items"))
     if not widths:
-        return base
+        return texts.select(*keep, F.size("w").alias("n_words"), F.lit(None).cast("int").alias("start"),
+                            F.lit(None).cast("int").alias("length"), F.lit(None).cast("array<string>").alias("items"))
 
     # Rarity: how often each benchmark shingle occurs in the documents, counted with map-side sums.
-    known = shingles.select("shingle").distinct()
     seen = _places(texts.select("w"), (), widths).where("shingle IS NOT NULL").select("shingle")
-    counts = seen.join(side(known), "shingle").groupBy("shingle").agg(F.count(F.lit(1)).alias("n_seen"))
+    counts = _passing(seen, _bitmap(shingles), "inner").groupBy("shingle").agg(F.count(F.lit(1)).alias("n_seen"))
     rarity = shingles.join(counts, "shingle", "left").withColumn("n_seen", F.coalesce("n_seen", F.lit(0)))
     # A window has at most ``window`` shingles. One that never occurs rules its window out.
     order = Window.partitionBy("window_words").orderBy("n_seen", "distance")
-    prefix = (
+    prefix = frames.materialize(
         rarity.withColumn("place", F.row_number().over(order))
         .where((F.col("place") == 1) & (F.col("n_seen") > 0))
-        .select("shingle", "distance", "window_words", "items")
+        .select("shingle", "n_seen", "distance", "window_words", "items")
     )
-    prefix = frames.materialize(prefix)
-
+    # Places of a hot shingle are spread by a hash. Fewer than ``HOT_PARTS`` shingles can be hot.
+    each = prefix.select("shingle", "n_seen").distinct()
+    limit = max(hot_rows, (each.agg(F.sum("n_seen")).first()[0] or 0) // frames.HOT_PARTS)
+    hot = frames.materialize(each.where(F.col("n_seen") > limit).select("shingle", F.ceil(F.col("n_seen") / limit).cast("int").alias("ways")))
+    ways = F.coalesce("ways", F.lit(1))
+    rare = prefix.drop("n_seen").join(F.broadcast(hot), "shingle", "left").withColumn("part", F.explode(F.sequence(F.lit(0), ways - 1)))
+
+    # The row with at = 0 stands for the document itself, so texts are split once. No window reaches further than the words around.
+    first = F.greatest(F.col("at") - (window - 1), F.lit(1))
+    itself = F.col("at") == 0
+    near = _passing(_places(texts, keep, widths), _bitmap(prefix), "left").select(
+        *keep, "at", "shingle", F.size("w").alias("n_words"), F.when(~itself, F.slice("w", first, 2 * window - 1)).alias("around")
+    )
+    dealt = F.xxhash64(*keep, "at")
+    spread = near.join(F.broadcast(hot), "shingle", "left").withColumn(
+        "part", F.when(itself, F.pmod(dealt, F.lit(DOCUMENT_PARTS))).otherwise(F.pmod(dealt, ways)).cast("int")
+    )
+    met = spread.drop("ways").join(rare.drop("ways"), ["shingle", "part"], "left")
     start, length = F.col("at") - F.col("distance"), F.size("window_words")
-    real = (
-        (start >= 1)
-        & (start + length - 1 <= F.size("w"))
-        & F.coalesce(folded(F.slice("w", F.greatest(start, F.lit(1)), F.greatest(length, F.lit(0)))) == F.col("window_words"), F.lit(False))
+    there = folded(F.slice("around", F.greatest(start - first + 1, F.lit(1)), F.greatest(length, F.lit(0))))
+    real = F.col("window_words").isNotNull() & (start >= 1) & (start + length - 1 <= F.col("n_words")) & (there == F.col("window_words"))
+    return met.where(itself | F.coalesce(real, F.lit(False))).select(
+        *keep, "n_words", *[F.when(~itself, c).alias(n) for c, n in ((start, "start"), (length, "length"), (F.col("items"), "items"))]
     )
-    found = [F.size("w").alias("n_words"), start.alias("start"), length.alias("length"), F.col("items")]
-    # The row with at = 0 stands for the document itself, so texts are split once.
-    flat = _places(texts, keep, widths)
-    if small:
-        met = flat.join(F.broadcast(prefix), "shingle", "left")
-        itself = F.col("at") == 0
-        return met.where(itself | (F.col("window_words").isNotNull() & real)).select(
-            *keep, found[0], *[F.when(~itself, c).alias(n) for c, n in zip(found[1:], ("start", "length", "items"))]
-        )
-    # Beyond the bound only narrow rows shuffle; a document's candidates then meet its words again.
-    met = flat.where("shingle IS NOT NULL").select(*keep, "at", "shingle").join(prefix, "shingle")
-    cands = met.select(*[F.col(k).alias(f"dc_{k}") for k in keep], "at", "distance", "window_words", "items")
-    distinct = texts.dropDuplicates([*keep])
-    same = [distinct[k].eqNullSafe(cands[f"dc_{k}"]) for k in keep]
-    return distinct.join(cands, same).where(real).select(*keep, *found).unionByName(base)
 
 
 def contamination(
@@ -174,7 +196,7 @@ def contamination(
     window: int = WINDOW,
     shingle: int = SHINGLE,
     share: int = 20,
-    broadcast_windows: int = BROADCAST_WINDOWS,
+    hot_rows: int = frames.HOT_LEAST,
 ) -> DataFrame:
     """Per document: ``key``, ``n_words``, ``n_hit``, ``n_items``, ``items`` and ``contaminated``.
 
@@ -185,7 +207,7 @@ def contamination(
     """
     keyed = docs.select(key, F.xxhash64(text).alias("text_hash"), F.length(text).alias("text_length"), F.col(text))
     by = [key, "text_hash", "text_length"]
-    rows = occurrences(keyed, benchmark, by, text, window, shingle, broadcast_windows)
+    rows = occurrences(keyed, benchmark, by, text, window, shingle, hot_rows)
     # Rows of one text: as many as the text has occurrences. Running end of what is covered so far.
     spot = Window.partitionBy(*by).orderBy(F.col("start").asc_nulls_first(), "length")
     before = F.max(F.col("start") + F.col("length")).over(spot.rowsBetween(Window.unboundedPreceding, -1))
