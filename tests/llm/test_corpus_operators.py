@@ -229,6 +229,45 @@ def test_bin_completion_reaches_the_optimum():
         assert packing.lower_bound(counts, 64) <= fewest(items, 64)
 
 
+def test_completion_on_wide_histograms():
+    rng = np.random.default_rng(1)
+    shapes = {
+        "narrow": np.clip(rng.lognormal(6, 0.8, 20_000), 1, 2048).astype(int),
+        "all lengths": np.repeat(np.arange(1, 2049), 3),
+        "no small ones": rng.integers(300, 1101, 400),
+        "one length": np.full(1000, 700),
+        "tiny": np.full(5000, 3),
+    }
+    won = {}
+    for name, lengths in shapes.items():
+        counts = np.bincount(lengths, minlength=2049)
+        found = packing.search(counts, 2048)
+        used = Counter()
+        for times, sizes in found.plan:
+            assert times > 0 and 0 < sum(sizes) <= 2048
+            used.update({x: n * times for x, n in Counter(sizes).items()})
+        assert used == Counter(lengths.tolist()) and found.sequences == sum(n for n, _ in found.plan)
+        simple = sum(n for n, _ in packing.best_fit(counts, 2048))
+        assert found.bound <= found.sequences <= simple
+        assert (found.found_by == "best fit") == (found.sequences == simple)
+        assert found == packing.search(counts, 2048)
+        won[name] = found
+    assert won["narrow"].sequences == won["narrow"].bound and won["narrow"].found_by == "completion of parts"
+    assert won["all lengths"].sequences == won["all lengths"].bound
+    assert won["no small ones"].found_by != "best fit"
+    assert packing.search(np.zeros(2049, dtype=np.int64), 2048).plan == []
+
+
+def test_exact_fillings_are_exact_and_available():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        counts = np.bincount(rng.integers(1, 40, rng.integers(1, 30)), minlength=65)
+        before, gap = counts.copy(), int(rng.integers(1, 64))
+        for items in packing.exact_fillings(counts, gap, 3):
+            assert sum(items) == gap and all(n <= counts[x] for x, n in Counter(items).items())
+        assert (counts == before).all()
+
+
 # ---------------------------------------------------------------- 6
 
 

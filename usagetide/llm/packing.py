@@ -5,6 +5,7 @@ pieces combine depends on their lengths alone, and there are at most as many len
 has tokens. So the search runs on the histogram of lengths: it fills sequences around the largest
 length left, trying undominated fillings in order of waste, applies a filling as often as the counts
 allow, and prunes whatever wastes too much to beat the incumbent, which starts as best-fit decreasing.
+Where that misses the lower bound, the sequences with most waste are freed and completed anew, part by part.
 The plan (patterns with multiplicities, bounded by the number of lengths) goes to the tasks, where a
 piece finds its sequence and place from its rank among the pieces of its length.
 """
@@ -12,9 +13,11 @@ piece finds its sequence and place from its rank among the pieces of its length.
 from __future__ import annotations
 
 import json
+import logging
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import frames, text as T
 
+log = logging.getLogger(__name__)
+
 CAPACITY = 2048
 END_ID = 0
 #: How byte-level BPE of this family cuts a text before merging (a fixed value of the vocabulary).
@@ -181,27 +186,26 @@ def fillings(counts: np.ndarray, gap: int, width: int, nodes: int) -> list[tuple
         return [()]
     found: list[tuple[int, tuple[int, ...]]] = []
     have = {x: int(counts[x]) for x in sizes}
-    ascending = np.array(sizes[::-1])
+    upto = np.cumsum(counts[: gap + 1] > 0).tolist()
     steps = 0
     chosen: list[int] = []
+    used: dict[int, int] = dict.fromkeys(sizes, 0)
 
-    def dominated(items: list[int], waste: int) -> bool:
-        used = Counter(items)
+    def dominated(waste: int) -> bool:
+        mine = set(chosen)
+        gone = [x for x in mine if used[x] >= have[x]]
 
         def spare(low: int, high: int) -> bool:
-            for x in ascending[np.searchsorted(ascending, low) : np.searchsorted(ascending, high, side="right")]:
-                if have[int(x)] > used[int(x)]:
-                    return True
-            return False
+            n = upto[high] - upto[low - 1]
+            return n > len(gone) or n > sum(low <= x <= high for x in gone)
 
-        if spare(1, waste) or any(spare(x + 1, x + waste) for x in used):
+        if waste and (spare(1, waste) or any(spare(x + 1, x + waste) for x in mine)):
             return True
-        return any(spare(a + b, a + b + waste) for i, a in enumerate(items) for b in items[i + 1 :]) if len(items) <= 8 else False
+        return any(spare(a + b, a + b + waste) for i, a in enumerate(chosen) for b in chosen[i + 1 :]) if len(chosen) <= 8 else False
 
     def dive(first: int, room: int) -> bool:
         nonlocal steps
         steps += 1
-        used = Counter(chosen)
         extended = False
         for k in range(first, len(sizes)):
             x = sizes[k]
@@ -209,13 +213,15 @@ def fillings(counts: np.ndarray, gap: int, width: int, nodes: int) -> list[tuple
                 continue
             extended = True
             chosen.append(x)
+            used[x] += 1
             stop = dive(k, room - x)
+            used[x] -= 1
             chosen.pop()
             if stop:
                 return True
             if steps > nodes:
                 return bool(found)
-        if not extended and not dominated(chosen, room):
+        if not extended and not dominated(room):
             found.append((room, tuple(chosen)))
             return len(found) >= width and any(w == 0 for w, _ in found)
         return False
@@ -224,12 +230,98 @@ def fillings(counts: np.ndarray, gap: int, width: int, nodes: int) -> list[tuple
     return [items for _, items in sorted(found, key=lambda f: (f[0], len(f[1]), [-x for x in f[1]]))[:width]]
 
 
-def complete(counts: np.ndarray, capacity: int, width: int = 2, nodes: int = 150, limit: int = 2500) -> Plan:
+def exact_fillings(counts: np.ndarray, gap: int, width: int) -> list[tuple[int, ...]]:
+    """Up to ``width`` fillings of ``gap`` without waste, larger items first.
+
+    The largest items are taken while more than three of them fit; the rest is one, two or three items, looked up in the
+    histogram. An item that fills the gap alone dominates all else, two items dominate three.
+    """
+    base: list[int] = []
+    left = counts
+    sizes = np.flatnonzero(left[: gap + 1])
+    while len(sizes) and gap > 3 * sizes[-1]:
+        if left is counts:
+            left = counts.copy()
+        x = int(sizes[-1])
+        take = min(int(left[x]), (gap - 1) // x - 2)
+        left[x] -= take
+        gap -= take * x
+        base += [x] * take
+        sizes = sizes[:-1] if not left[x] else sizes
+        sizes = sizes[: np.searchsorted(sizes, gap, side="right")]
+    if not gap:
+        return [tuple(base)]
+    if not len(sizes):
+        return []
+    if left[gap]:
+        return [(*base, gap)]
+    pairs = _pairs(left, gap, gap)
+    if len(pairs):
+        return [(*base, int(x), gap - int(x)) for x in pairs[:width]]
+    found: list[tuple[int, ...]] = []
+    for x in sizes[::-1]:
+        x = int(x)
+        if 3 * x < gap:
+            break
+        left[x] -= 1
+        found += [(*base, x, int(y), gap - x - int(y)) for y in _pairs(left, gap - x, x)[: width - len(found)]]
+        left[x] += 1
+        if len(found) >= width:
+            break
+    return found
+
+
+def _pairs(counts: np.ndarray, total: int, top: int) -> np.ndarray:
+    """The larger items, at most ``top``, of all pairs that add up to ``total``, largest first."""
+    low, high = (total + 1) // 2, min(total - 1, top)
+    if high < low:
+        return np.zeros(0, dtype=np.int64)
+    both = (counts[low : high + 1] > 0) & (counts[total - high : total - low + 1][::-1] > 0)
+    if 2 * low == total:
+        both[0] = counts[low] > 1
+    return (np.flatnonzero(both) + low)[::-1]
+
+
+class Packing(NamedTuple):
+    """A plan (how many sequences, the lengths in each), its sequences, the lower bound, and how the plan was found."""
+
+    plan: Plan
+    sequences: int
+    bound: int
+    found_by: str
+
+
+def search(counts: np.ndarray, capacity: int, width: int = 2, nodes: int = 150, dives: int = 3, rounds: int | None = None) -> Packing:
+    """Best fit, then completion, then completion of parts: each only where the one before misses the lower bound.
+
+    Completion applies as many fillings as ``dives`` descents through all distinct lengths need, at every size. A round
+    frees the sequences with most waste and some others and completes these few items anew; there are as many
+    ``rounds`` as distinct lengths, unless given. The result never has more sequences than best fit.
+    """
+    plan = best_fit(counts, capacity)
+    distinct = int((counts > 0).sum())
+    best = Packing(plan, sum(n for n, _ in plan), lower_bound(counts, capacity), "best fit")
+    if best.sequences > best.bound:
+        plan = _descend(counts, capacity, best, width, nodes, max(2500, dives * width * distinct))
+        if plan is not None:
+            best = best._replace(plan=plan, sequences=sum(n for n, _ in plan), found_by="completion")
+    if best.sequences > best.bound:
+        plan = _repair(best, capacity, distinct if rounds is None else rounds)
+        if plan is not None:
+            best = best._replace(plan=plan, sequences=sum(n for n, _ in plan), found_by="completion of parts")
+    return best
+
+
+def complete(counts: np.ndarray, capacity: int) -> Plan:
     """The best plan found: (how many sequences, the lengths in each)."""
-    best = best_fit(counts, capacity)
-    bins, floor = sum(n for n, _ in best), lower_bound(counts, capacity)
+    return search(counts, capacity).plan
+
+
+def _descend(counts: np.ndarray, capacity: int, start: Packing, width: int, nodes: int, limit: int) -> Plan | None:
+    """A plan with fewer sequences than ``start``, by branch and bound within ``limit`` fillings; None if there is none."""
+    best, bins, floor = None, start.sequences, start.bound
     total = int((counts * np.arange(len(counts))).sum())
-    # Depth first over (counts left, plan so far, waste so far); the best branch is on top of the stack.
+    # Depth first over (counts left, plan so far, sequences and waste so far); the best branch is on top of the stack.
     stack: list[tuple[np.ndarray, tuple, int, int]] = [(counts.copy(), (), 0, 0)]
     seen = 0
     while stack and bins > floor and seen < limit:
@@ -245,7 +337,8 @@ def complete(counts: np.ndarray, capacity: int, width: int = 2, nodes: int = 150
             continue
         lead = int(some[-1])
         left[lead] -= 1
-        options = fillings(left, capacity - lead, width, nodes) or [best_filling(left, capacity - lead)]
+        gap = capacity - lead
+        options = exact_fillings(left, gap, width) or fillings(left, gap, width, nodes) or [best_filling(left, gap)]
         left[lead] += 1
         for items in reversed(options):
             seen += 1
@@ -259,6 +352,50 @@ def complete(counts: np.ndarray, capacity: int, width: int = 2, nodes: int = 150
     return best
 
 
+def _repair(start: Packing, capacity: int, rounds: int, wasteful: int = 8, others: int = 8) -> Plan | None:
+    """``start`` with fewer sequences, by completing few of them anew again and again; None if no round saves one.
+
+    A round that saves none still counts where it gathers the waste in fewer sequences. The choice of sequences follows
+    from the round's number, so equal histograms get equal plans.
+    """
+    plan: Counter = Counter()
+    for n, items in start.plan:
+        plan[tuple(sorted(items, reverse=True))] += n
+    count, rng = start.sequences, np.random.default_rng(0)
+    for _ in range(rounds):
+        if count <= start.bound:
+            break
+        open_ = sorted((i for i in plan if sum(i) < capacity), key=lambda i: (sum(i), i))
+        full = [i for i in plan if sum(i) == capacity]
+        if not open_:
+            break
+        freed = Counter({open_[0]: 1})
+        for pool, size in ((open_, wasteful), (full or open_, others)):
+            for k in rng.integers(0, len(pool), size):
+                if freed[pool[k]] < plan[pool[k]]:
+                    freed[pool[k]] += 1
+        part = np.zeros(capacity + 1, dtype=np.int64)
+        for items, n in freed.items():
+            np.add.at(part, list(items), n)
+        number = sum(freed.values())
+        # One more is allowed, so a new arrangement of as many sequences can come out.
+        again = _descend(part, capacity, Packing([], number + 1, lower_bound(part, capacity), ""), 2, 60, 6 * number)
+        if again is None:
+            continue
+        after: Counter = Counter()
+        for n, items in again:
+            after[tuple(sorted(items, reverse=True))] += n
+        if (sum(after.values()), -_gathered(after, capacity)) <= (number, -_gathered(freed, capacity)):
+            plan = plan - freed + after
+            count += sum(after.values()) - number
+    return [(n, items) for items, n in plan.items()] if count < start.sequences else None
+
+
+def _gathered(part: Counter, capacity: int) -> int:
+    """Larger where the same waste lies in fewer sequences."""
+    return sum(n * (capacity - sum(items)) ** 2 for items, n in part.items())
+
+
 def best_filling(counts: np.ndarray, gap: int) -> tuple[int, ...]:
     """Largest item that fits, again and again."""
     left, items = counts.copy(), []
@@ -296,7 +433,9 @@ def pack(rows: DataFrame, order: Sequence[str], capacity: int = CAPACITY, cell_r
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # at most ``capacity`` rows
         counts[r.length] = r.n
-    by = segments(complete(counts, capacity))
+    found = search(counts, capacity)
+    log.info("%d sequences by %s, at least %d are needed", found.sequences, found.found_by, found.bound)
+    by = segments(found.plan)
     seg_at = np.array([(s[0] << 40) + s[1] for s in by], dtype=np.int64)
     lo, base, each, offset = (np.array([s[k] for s in by], dtype=np.int64) for k in (1, 2, 3, 4))
     cells = max(1, -(-int(counts.max()) // cell_rows))
