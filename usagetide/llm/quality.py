@@ -2,9 +2,10 @@
 
 The statistics come from the measurements of the rule ledger. Random Fourier features approximate a
 Gaussian kernel over the standardised statistics. Every partition of labelled rows adds up its part of
-the normal equations; the parts are summed by matrix row, so neither one task nor the driver sees more
-than the matrix. Scores are calibrated by isotonic regression over a fixed number of score bins, on
-labelled rows that the ridge fit did not use.
+the normal equations, one for each fold of the rows; the parts are summed by fold and matrix row, so neither
+one task nor the driver sees more than these matrices. Scores are calibrated by isotonic regression over a
+fixed number of score bins: every labelled row is scored by the fit of the other folds, so each takes part
+in the final fit and in its calibration, and none calibrates a fit that has seen it.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ class Settings:
     width: float = 1.5
     ridge: float = 1e-4
     bins: int = 1024
-    calibration_parts: int = 4  # one in so many labelled rows calibrates
+    folds: int = 4  # every fold is scored for calibration by the fit of the others
     partition_rows: int = 200_000
     seed: int = 5
 
@@ -101,52 +102,59 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> QualityModel:
     mean = np.array([sums[f"m{k}"] for k in range(d)])
     spread = np.array([max(sums[f"s{k}"], 1e-6) for k in range(d)])
     model = QualityModel(mean, spread, directions, phases, None, np.array([0.0]), np.array([0.5]))
-    # One number per row, known before and after a retry, splits fitting from calibration.
-    part = F.pmod(F.xxhash64(F.lit(s.seed), "stats", "key"), F.lit(s.calibration_parts))
+    # One number per row, known before and after a retry, is its fold.
+    fold = F.pmod(F.xxhash64(F.lit(s.seed), "stats", "key"), F.lit(s.folds)).cast("int")
+    rows = labelled.select("stats", "label", fold.alias("fold"))
     size = s.features + 1
 
     def normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size, size + 1))
+        total = np.zeros((s.folds, size, size + 1))
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 piece = batch.slice(at, 4096)
                 if piece.num_rows:
                     z = model.features(_matrix(piece.column(0), d))
                     y = piece.column(1).to_numpy(zero_copy_only=False).astype(float)
-                    total += z.T @ np.column_stack((z, y))
+                    own = piece.column(2).to_numpy()
+                    for k in np.unique(own):
+                        total[k] += z[own == k].T @ np.column_stack((z[own == k], y[own == k]))
+        flat_rows = total.reshape(-1, size + 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(size, dtype=np.int32)), pa.array([row.tobytes() for row in total], pa.binary())], names=["i", "row"]
+            [pa.array(np.arange(len(flat_rows), dtype=np.int32)), pa.array([row.tobytes() for row in flat_rows], pa.binary())], names=["i", "row"]
         )
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(v.as_py()) for v in table.column("row"))
         return pa.table({"i": table.column("i").slice(0, 1), "row": pa.array([total.tobytes()], pa.binary())})
 
-    rows = labelled.withColumn("part", part)
-    fitting = rows.where("part > 0") if sums.n >= 20 else rows
+    def solve(matrix: np.ndarray) -> np.ndarray:
+        seen = max(matrix[-1, -2], 1.0)  # the last feature is 1, so its square counts rows
+        return np.linalg.solve(matrix[:, :-1] + s.ridge * seen * np.eye(size), matrix[:, -1])
+
     parts = max(1, -(-sums.n // s.partition_rows))
-    spread_out = fitting.select("stats", "label").repartition(parts)
-    partial = spread_out.mapInArrow(normal, "i int, row binary")
-    summed = partial.groupBy("i").applyInArrow(add, "i int, row binary").collect()  # ``features`` + 1 rows
-    matrix = np.zeros((size, size + 1))
+    partial = rows.repartition(parts).mapInArrow(normal, "i int, row binary")
+    summed = partial.groupBy("i").applyInArrow(add, "i int, row binary").collect()  # ``folds`` * (``features`` + 1) rows
+    matrices = np.zeros((s.folds * size, size + 1))
     for r in summed:
-        matrix[r.i] = np.frombuffer(r.row)
-    gram, right = matrix[:, :-1], matrix[:, -1]
-    weights = np.linalg.solve(gram + s.ridge * sums.n * np.eye(size), right)
-    model = QualityModel(mean, spread, directions, phases, weights, np.array([0.0]), np.array([0.5]))
+        matrices[r.i] = np.frombuffer(r.row)
+    matrices = matrices.reshape(s.folds, size, size + 1)
+    whole = matrices.sum(axis=0)
+    weights = solve(whole)
+    left_out = np.array([solve(whole - m) for m in matrices])
 
     def binned(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        raw = model.raw(_matrix(batch.column(0), d))
+        own = batch.column(2).to_numpy()
+        raw = np.empty(batch.num_rows)
+        for at in range(0, batch.num_rows, 4096):
+            z = model.features(_matrix(batch.slice(at, 4096).column(0), d))
+            raw[at : at + 4096] = (z * left_out[own[at : at + 4096]]).sum(axis=1)
         place = np.clip(((raw + 0.5) / 2 * s.bins).astype(np.int64), 0, s.bins - 1).astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(place), batch.column(1).cast(pa.int64())], names=["bin", "label"])
 
-    calibration = rows.where("part = 0") if sums.n >= 20 else rows
     bins = (
-        T.map_batches(calibration.select("stats", "label"), binned, "bin int, label long")
+        T.map_batches(rows, binned, "bin int, label long")
         .groupBy("bin").agg(F.sum("label").alias("ones"), F.count(F.lit(1)).alias("n")).orderBy("bin").collect()  # at most ``bins``
     )
-    if not bins:
-        return QualityModel(mean, spread, directions, phases, weights, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     knots = (np.array([r.bin for r in bins]) + 0.5) / s.bins * 2 - 0.5
     levels = isotonic(np.array([r.ones for r in bins]), np.array([r.n for r in bins]))
     return QualityModel(mean, spread, directions, phases, weights, knots, levels)
