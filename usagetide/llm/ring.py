@@ -75,11 +75,17 @@ def assign(rows: DataFrame, key: str, spread: str, shards: int, vnodes: int = VN
     """``rows`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard).
 
     ``spread`` is a column that tells apart rows whose key is null or repeated. Rows equal in both may
-    swap places. Rows should be narrow: they shuffle once by arc. An empty table stays empty.
+    swap places. Rows should be narrow: they shuffle once by arc. An empty table stays empty. Other columns
+    may have any name; ones named ``shard`` or ``slot`` are replaced.
     """
     place, owner = points(shards, vnodes)
     arcs = len(place)
-    hashed = rows.withColumn("ring_hash", key_hash(key, F.col(spread)))
+    # The row travels as one struct, so no column of it can clash.
+    kept = [rows[c] for c in rows.columns if c not in ("shard", "slot")]
+    hashed = rows.select(
+        F.struct(*kept).alias("row"), F.col(key).alias("ring_key"), F.col(spread).alias("ring_spread"),
+        key_hash(key, F.col(spread)).alias("ring_hash"),
+    )
 
     def find_arc(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         h = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -95,7 +101,7 @@ def assign(rows: DataFrame, key: str, spread: str, shards: int, vnodes: int = VN
         counts[r.ring_arc] = r.n
     segments = flow(counts, owner, bounds(int(counts.sum()), shards))
     cells = max(1, -(-int(counts.max()) // cell_rows))
-    ranks = frames.ranked(placed, "ring_arc", F.xxhash64("ring_hash", F.col(spread)), ["ring_hash", key, spread], cells, "ring_rank")
+    ranks = frames.ranked(placed, "ring_arc", F.xxhash64("ring_hash", "ring_spread"), ["ring_hash", "ring_key", "ring_spread"], cells, "ring_rank")
 
     # Segments sorted by arc and first rank: one binary search finds a row's segment.
     by = sorted(segments)
@@ -113,4 +119,4 @@ def assign(rows: DataFrame, key: str, spread: str, shards: int, vnodes: int = VN
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranks.schema.fields]
     out = T.map_batches(ranks, look_up, ", ".join([*fields, "shard int", "slot long"]))
-    return out.drop("ring_hash", "ring_arc", "ring_rank")
+    return out.select("row.*", "shard", "slot")
