@@ -228,6 +228,43 @@ SELECT page_id, octet_length(data)::BIGINT AS payload_bytes,
 FROM bits
 """
 
+# Equal sets are one node. A link at 85 per cent needs most shingles in common, so of two sets that are ordered by
+# one rule, the rarest first, one of the first n - ceil(0.85 n) + 1 is shared.
+SQL["op6_bbit_minhash"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORD}) AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), sets AS (
+  SELECT rid, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS h FROM s GROUP BY rid
+), node AS (
+  SELECT h, any_value(n) AS n, min(rid) AS rid, min(doc_id) AS least FROM sets JOIN d USING (rid) GROUP BY h
+), rare AS (
+  SELECT h, n, g, row_number() OVER (PARTITION BY h ORDER BY f, g) AS place
+  FROM node JOIN s USING (rid) JOIN (SELECT g, count(*) AS f FROM s GROUP BY g) USING (g)
+), pair AS (
+  SELECT DISTINCT a.h AS a, b.h AS b
+  FROM rare a JOIN rare b ON a.g = b.g AND a.h < b.h AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  WHERE 100 * a.place <= 15 * a.n + 100 AND 100 * b.place <= 15 * b.n + 100
+), link AS (
+  SELECT a, b FROM pair JOIN rare x ON x.h = a JOIN rare y ON y.h = b AND y.g = x.g
+  GROUP BY a, b HAVING 100 * count(*) >= 85 * (any_value(x.n) + any_value(y.n) - count(*))
+), edge AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), walk AS (
+  SELECT h AS a, h AS b FROM node WHERE h IN (SELECT a FROM edge)
+  UNION SELECT walk.a, edge.b FROM walk JOIN edge ON edge.a = walk.b
+), part AS (
+  SELECT walk.a AS h, min(least) AS component FROM walk JOIN node ON node.h = walk.b GROUP BY walk.a
+)
+SELECT doc_id, coalesce(sets.n, 0)::BIGINT AS n_shingles, coalesce(component, least, doc_id) AS component_id,
+       coalesce(component, least, doc_id) = doc_id AS kept
+FROM d LEFT JOIN sets USING (rid) LEFT JOIN node USING (h) LEFT JOIN part USING (h)
+"""
+
 SQL["op9_decontaminate"] = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id,
