@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from conftest_llm import prose
 from pyspark.sql import functions as F
-from usagetide.llm import quality, queries, ring, rules, text as T, urlfilter
+from usagetide.llm import frames, neardup, quality, queries, ring, rules, text as T, urlfilter
 
 
 # ---------------------------------------------------------------- ring
@@ -142,3 +142,77 @@ def test_url_of_megabytes(shared):
     pages = shared.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     got = urlfilter.judge(pages, queries.URL_RULES).select("rule", "verdict").orderBy("page_id").collect()
     assert [tuple(r) for r in got] == [(None, "block"), (None, "allow"), ("example.org/es/", "block")]
+
+
+# ---------------------------------------------------------------- near-duplicates
+
+
+def loose_family(seed, n, length, changed, exact):
+    """Texts of one template with ``changed`` words of their own each, and for each of ``exact`` a copy with its last word changed."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(length)]
+    out = []
+    for k in range(n):
+        w = list(base)
+        for at in rng.sample(range(length), changed):
+            w[at] = f"x{seed}y{rng.randrange(10**9)}"
+        out.append(" ".join(w))
+    return out + [t.rsplit(" ", 1)[0] + f" z{k}" for k, t in enumerate(out[:exact])]
+
+
+def linked_by_force(texts):
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                p, q = sorted((find(a), find(b)))
+                root[q] = p
+    return {k: find(k) for k in range(len(texts))}
+
+
+def test_a_long_chain_is_cut_by_bands(shared, monkeypatch):
+    # Every text is loosely like its neighbours and shares nothing with those far away; some have a near copy.
+    rng = random.Random(3)
+    line = [f"w{rng.randrange(10**6)}" for _ in range(3_000)]
+    texts = [" ".join(line[k * 22 : k * 22 + 200]) for k in range(120)]
+    texts += [t + f" more{k}" for k, t in enumerate(texts[::10])]
+    moved, cuts, verified, cut = [], [], neardup._verified, neardup._cut
+
+    def counted(parts, s):
+        parts = frames.materialize(parts)
+        moved.append(parts.count())
+        return verified(parts, s)
+
+    def noted(mixed, bands, level, s):
+        out = cut(mixed, bands, level, s)
+        cuts.append(out[1].count())
+        return out
+
+    monkeypatch.setattr(neardup, "_verified", counted)
+    monkeypatch.setattr(neardup, "_cut", noted)
+    docs = shared.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = neardup.near_duplicates(docs, settings=neardup.Settings(bucket_nodes=4, most_copies=8)).collect()
+    want = linked_by_force(texts)
+    assert {r.doc_id: r.component_id for r in got} == want and sum(k != v for k, v in want.items()) == 12
+    # Some 33 blocks in pairs would move every text 32 times.
+    assert sum(cuts) >= 1 and sum(moved) < 20 * len(texts)
+
+
+@pytest.mark.parametrize("least", [True, False])
+def test_links_of_a_loose_family_whatever_is_cut(shared, monkeypatch, least):
+    texts = loose_family(1, 50, 160, 3, 10) + loose_family(2, 20, 120, 2, 5)
+    docs = shared.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    if not least:  # cut even where that moves more
+        cut = neardup._cut
+        monkeypatch.setattr(neardup, "_cut", lambda mixed, *rest: cut(mixed.withColumn("moves", F.lit(1 << 40)), *rest))
+    got = neardup.near_duplicates(docs, settings=neardup.Settings(bucket_nodes=6, most_copies=1)).collect()
+    want = linked_by_force(texts)
+    assert {r.doc_id: r.component_id for r in got} == want and len(set(want.values())) > 40

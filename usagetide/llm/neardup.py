@@ -9,17 +9,22 @@
    to clusters; they are never written out as pairs.
 4. Each cluster, cut into blocks of bounded size where it is large, is checked on the full shingle sets.
    Blocks meet by one node of each group first; after that only nodes outside the largest group are repeated.
+   Where that would repeat rows more than a few times each, only nodes that share a band meet (or two or three
+   bands, where one still leaves a costly cluster), provided that this repeats fewer rows.
    A union-find skips pairs that are already connected, so a group of any size yields a spanning forest
    of exact links, and connected components of those links are the groups.
 
 The chance to miss a link at similarity 0.85 is (1 - 0.85^6)^32, about 3 in 10 million, plus about 1 in
 10 thousand for the estimate's margin on links at the very threshold, when no other link connects them.
+A link is also missed if it shares only one or two bands and these lead to nothing but costly clusters, which
+are cut by up to three: at 0.85 about 5 in 100 thousand links share so few.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +45,8 @@ class Settings:
     #: Nodes of a bucket or cluster, and shingles of a cluster, that a task compares at once; more are cut into blocks.
     bucket_nodes: int = 4096
     block_shingles: int = 1_500_000
+    #: Times that the rows of a cluster may be repeated on average before it is cut by bands instead.
+    most_copies: int = 16
     seed: int = 3
 
     @property
@@ -201,7 +208,7 @@ def clusters(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     blocks = F.ceil(F.col("n") / s.bucket_nodes).cast("int")
     large = members.join(once.where("n > 2").select("bucket", blocks.alias("blocks")), "bucket")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    places = large.select(F.col("bucket").alias("cluster"), "blocks", own.alias("own"), "node")
+    places = large.select(F.col("bucket").alias("cluster"), "blocks", own.alias("own"), "node", F.lit(0).cast("long").alias("size"))
     most, longs = s.most_unequal, s.longs
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,17 +240,22 @@ def clusters(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     if once.where(F.col("n") > s.bucket_nodes).isEmpty():
         return components(near.unionByName(inside))
     inside = frames.materialize(near.unionByName(inside))
-    return components(_across(frames.materialize(places.where("blocks > 1")), inside, linked))
+    return components(_across(frames.materialize(places.where("blocks > 1")), inside, linked, nodes.select("node", "bands"), s))
 
 
-def _across(places: DataFrame, inside: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+#: Bands by which a cluster may be cut one after the other; what is costly after them meets in blocks all the same.
+CUTS = 2
+
+
+def _across(places: DataFrame, inside: DataFrame, linked: Callable[[DataFrame], DataFrame], bands: DataFrame, s: Settings) -> DataFrame:
     """``inside`` and further links between blocks, enough to connect what ``linked`` would in whole clusters.
 
-    ``places`` has ``cluster``, ``blocks``, ``own`` (block) and ``node``; ``inside`` has links in single blocks.
+    ``places`` has ``cluster``, ``blocks``, ``own`` (block), ``node`` and ``size``; ``inside`` has links in single blocks.
     ``linked`` finds links in each (cluster, i, j) of rows that also have ``group``. First, the largest groups
     of all blocks of a cluster meet by one node each, at most about a block of them. Then two nodes of different
     groups include one outside the cluster's largest group: those are few as a rule, and only they go to every
     block. Where they are more than half of a cluster, its blocks meet in pairs. One group needs nothing more.
+    A cluster whose rows would be repeated more than ``most_copies`` times is cut by ``bands`` first, if that repeats fewer.
     """
 
     def grouped(links: DataFrame) -> DataFrame:
@@ -262,27 +274,72 @@ def _across(places: DataFrame, inside: DataFrame, linked: Callable[[DataFrame],
     )
     links = frames.materialize(inside.unionByName(linked(first)))
 
-    after = grouped(links)
-    groups = after.groupBy("cluster", "group").agg(F.count(F.lit(1)).alias("size"))
-    whole = groups.groupBy("cluster").agg(
-        F.sum("size").alias("n"), F.max("size").alias("most"), F.max_by("group", F.struct("size", "group")).alias("main")
-    ).where("n > most")
+    after = grouped(links).withColumn("band", F.lit(-1))
+    pieces = [links]
+    rest = F.col("n") - F.col("most")
+    for level in range(CUTS + 1):
+        groups = after.groupBy("cluster", "blocks", "group").agg(F.count(F.lit(1)).alias("rows"))
+        whole = groups.groupBy("cluster", "blocks").agg(
+            F.sum("rows").alias("n"), F.max("rows").alias("most"), F.max_by("group", F.struct("rows", "group")).alias("main")
+        ).where("n > most")
+        whole = frames.materialize(whole.withColumn("moves", F.col("blocks") * rest).drop("blocks"))
+        if whole.isEmpty():
+            break
+        mixed = after.join(whole, "cluster")
+        costly = mixed.where(F.col("moves") > s.most_copies * F.col("n"))
+        if level == CUTS or costly.isEmpty():
+            pieces.append(linked(_meetings(mixed, level > 0)))
+            break
+        after, replaced = _cut(costly, bands, level, s)
+        pieces.append(frames.materialize(linked(_meetings(mixed.join(replaced, "cluster", "left_anti"), level > 0))))
+    return frames.materialize(reduce(DataFrame.unionByName, pieces))
+
+
+def _meetings(mixed: DataFrame, inside: bool) -> DataFrame:
+    """``cluster``, ``i``, ``j``, ``node``, ``group``: where nodes of different groups in different blocks meet (also in one, if ``inside``)."""
     rest = F.col("n") - F.col("most")
     parts = F.ceil(F.col("blocks") * rest / F.col("n")).cast("int")
     part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
     numbers = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
-    pairs = F.transform(F.array_remove(numbers("blocks"), F.col("own")), lambda o: pair(F.least("own", o), F.greatest("own", o)))
+    others = numbers("blocks") if inside else F.array_remove(numbers("blocks"), F.col("own"))
+    pairs = F.transform(others, lambda o: pair(F.least("own", o), F.greatest("own", o)))
     stays = F.transform(numbers("parts"), lambda j: pair(F.col("own"), j))
     goes = F.transform(numbers("blocks"), lambda i: pair(i, F.col("part")))
     at = F.when(2 * rest > F.col("n"), pairs).when(F.col("group") == F.col("main"), stays).otherwise(F.concat(stays, goes))
-    crossed = (
-        after.join(whole, "cluster").withColumn("parts", parts).withColumn("part", part)
+    return (
+        mixed.withColumn("parts", parts).withColumn("part", part)
         .select("cluster", "node", "group", F.explode(at).alias("at")).select("cluster", "at.i", "at.j", "node", "group")
     )
-    if whole.isEmpty():
-        return links
-    return frames.materialize(links.unionByName(linked(crossed)))
+
+
+def _cut(mixed: DataFrame, bands: DataFrame, level: int, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """Clusters cut by the bands after their last one (``band``), and which ``cluster``s that replaces.
+
+    Only parts with several groups are kept. The same nodes often meet under many bands: they are one part, under the
+    first of them. A cluster is replaced where its parts repeat fewer rows than it would (``moves``).
+    """
+    wide = mixed.join(bands, "node").select("cluster", "band", "node", "group", "size", F.posexplode("bands").alias("next", "value"))
+    # A cluster that is itself a band's bucket is not cut by that band.
+    further = wide.where("next > band AND value <> cluster")
+    parts = frames.materialize(further.select(
+        F.col("cluster").alias("parent"), F.xxhash64("cluster", "value").alias("cluster"), F.col("next").alias("band"), "node", "group", "size"
+    ))
+    same = ["n", "total", "a", "b", "x"]
+    sums = parts.groupBy("parent", "cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.min("node").alias("a"), F.max("node").alias("b"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.min("group").alias("g"), F.max("group").alias("h"), F.min("band").alias("first"),
+    ).where("g < h")
+    once = frames.materialize(sums.groupBy("parent", *same).agg(F.min(F.struct("first", "cluster")).alias("least")))
+    blocks = F.greatest(F.ceil(F.col("total") / s.block_shingles), F.ceil(F.col("n") / s.bucket_nodes)).cast("int")
+    spent = once.groupBy(F.col("parent").alias("cluster")).agg(F.sum(F.col("n") * blocks).alias("spent"))
+    replaced = mixed.select("cluster", "moves").distinct().join(spent, "cluster", "left").where("coalesce(spent, 0) < moves")
+    replaced = frames.materialize(replaced.select("cluster"))
+    chosen = once.join(replaced.select(F.col("cluster").alias("parent")), "parent", "left_semi").withColumn("blocks", blocks)
+    chosen = chosen.groupBy(*same).agg(F.min("least").alias("least"), F.min("blocks").alias("blocks")).select("least.cluster", "blocks")
+    own = F.pmod(F.xxhash64("node", F.lit(level + 2)), F.col("blocks")).cast("int")
+    placed = parts.join(chosen, "cluster").select("cluster", "blocks", own.alias("own"), "node", "size", "group", "band")
+    return frames.materialize(placed), replaced
 
 
 class _Forest:
@@ -357,7 +414,7 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, settings: Sett
     wanted = wanted.join(sizes.select("cluster", blocks.alias("blocks")), "cluster")
     source = docs.select(F.col(key).cast("long").alias("d_id"), F.xxhash64(text).alias("d_hash"), T.utf8(text).alias("data"))
     same = source["d_id"].eqNullSafe(wanted["id"]) & (source["d_hash"] == wanted["text_hash"])
-    texts = source.join(wanted, same).select("cluster", "blocks", "node", "sig", "data")
+    texts = source.join(wanted, same).select("cluster", "blocks", "node", "sig", F.col("n_shingles").alias("size"), "data")
     texts = texts.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     texts = frames.written(texts, "near-texts")
 
@@ -368,13 +425,13 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, settings: Sett
     large = texts.where("blocks > 1")
     if large.isEmpty():
         return inside
-    places = frames.materialize(large.select("cluster", "blocks", "own", "node").distinct())
+    places = frames.materialize(large.select("cluster", "blocks", "own", "node", "size").distinct())
     data = large.select("node", "sig", "data")
 
     def linked(parts: DataFrame) -> DataFrame:
         return _verified(parts.join(data, "node"), s)
 
-    return _across(places, inside, linked)
+    return _across(places, inside, linked, nodes.select("node", "bands"), s)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
