@@ -100,6 +100,45 @@ def test_trees_do_not_depend_on_partitions(features, forest):
         assert (getattr(again, name) == getattr(forest, name)).all()
 
 
+def test_passes_start_no_more_tasks_than_they_need():
+    default = G.Settings().task_rows
+    # 90,000 accounts are one task; five models side by side share the slots there are.
+    assert G.pass_tasks(0, 12, default) == G.pass_tasks(90_000, 12, default) == 1
+    assert G.pass_tasks(540_000, 12, default) == 5 and G.pass_tasks(5 * 90_000, 12, default) == 4
+    # Then tasks grow to eight times that, in one turn of all slots, and come in full turns after it.
+    assert G.pass_tasks(5 * 540_000, 12, default) == G.pass_tasks(8 * 12 * default, 12, default) == 12
+    assert G.pass_tasks(8 * 12 * default + 1, 12, default) == 24
+    assert G.pass_tasks(8 * 12 * 40 * default, 12, default) == 12 * 40
+
+
+def test_few_histograms_meet_in_few_tasks(features, forest):
+    """However the histograms are dealt, or added where they were made, the trees are the same."""
+    for settings in (
+        G.Settings(trees=4, depth=3, task_rows=60, min_hessian=0.5, adder_rows=50),
+        G.Settings(trees=4, depth=3, task_rows=60, min_hessian=0.5, adders=1),
+        G.Settings(trees=4, depth=3, min_hessian=0.5),
+    ):
+        again = G.train(features, settings)
+        for name in ("feature", "threshold", "value", "cover"):
+            assert (getattr(again, name) == getattr(forest, name)).all()
+
+
+@pytest.mark.parametrize("depth", [0, 1, 4, 6])
+def test_rows_descend_alike_however_they_lie_in_memory(depth):
+    rng = np.random.default_rng(depth)
+    x = rng.integers(0, 9, (50, 7)).astype(np.uint8)
+    feature, cut = rng.integers(-1, 7, 2**depth - 1), rng.integers(0, 9, 2**depth - 1)
+    want = []
+    for row in x:
+        node = 0
+        while node < 2**depth - 1:
+            node = 2 * node + 1 + int(feature[node] >= 0 and row[feature[node]] > cut[node])
+        want.append(node - (2**depth - 1))
+    for kind in (x, np.asfortranarray(x), np.repeat(x, 2, axis=0)[::2]):
+        assert G._descend(kind, feature, cut, depth).tolist() == want
+    assert G._descend(x[:0], feature, cut, depth).tolist() == []
+
+
 def test_models_side_by_side_equal_models_alone(spark, features):
     rows, levels = G._training_rows(features)
     parted = S.stratified_folds(rows, 3).persist()
